@@ -14,7 +14,8 @@ def log_elapsed(spark: SparkSession, path: str) -> DataFrame:
     ``elapsed`` comes from the first line with the mark, null without one. Logs
     are read by line and may be large: only marked lines leave the scan, and
     each task keeps the first one per file. The file list comes from a scan that
-    reads no content, so a log without the mark, even an empty one, has its row.
+    reads no content, so a log without the mark has its row too (a log of zero
+    bytes has none: Spark's file sources skip such files).
     """
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
     # Split offset, then row number within the split: the order of lines in a file.

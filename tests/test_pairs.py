@@ -1,0 +1,177 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import MICRO, as_tuples, brute_stats, brute_top, pair_total, random_rows
+from pyspark.sql import functions as F
+
+from samedays import observations, pair_days, pair_stats, rank_pairs, replicate, tied_winners, top_pairs
+from samedays.operators.observations import day_cells
+from samedays.operators.pairing import ENUMERATORS, enumerate_pairs, pairing_partitions, split_days
+from samedays.operators.pruning import frequent_cells, support_floor
+from samedays.operators.ranking import STRATEGIES
+from samedays.sources.report import solution_report
+
+PLACES = (13.4, 38.2, 15.1, 37.5)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_micro_winner(events, strategy):
+    top = as_tuples(top_pairs(observations(events(MICRO)), 1, strategy))
+    assert top == [(*PLACES, 3, ["2024-03-01", "2024-03-02", "2024-03-04"])]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_micro_tie_goes_to_the_smaller_pair(events, strategy):
+    obs = observations(events(MICRO[:8]))
+    first = (-70.5, -12.2, 15.1, 37.5)
+    assert as_tuples(top_pairs(obs, 1, strategy)) == [(*first, 2, ["2024-03-02", "2024-03-03"])]
+    assert sorted(as_tuples(tied_winners(obs, strategy))) == [(*first, 2), (*PLACES, 2)]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("rows", [[], [MICRO[0], MICRO[2]], [MICRO[0], MICRO[3]]])
+def test_without_a_pair_the_result_is_empty(events, strategy, rows):
+    obs = observations(events(rows))
+    assert as_tuples(top_pairs(obs, 1, strategy)) == []
+    assert as_tuples(tied_winners(obs, strategy)) == []
+
+
+@pytest.mark.parametrize("strategy", sorted(ENUMERATORS))
+@pytest.mark.parametrize("block", [1, 3, 7, 1000])
+def test_every_pair_day_exactly_once(obs_of, strategy, block):
+    rows = random_rows(block, days=9, places=60, rows=400, hot_share=0.3)
+    got = as_tuples(pair_days(obs_of(rows), strategy, block))
+    expected = [(*pair, day) for pair, days in brute_stats(rows).items() for day in days]
+    assert sorted(got) == sorted(expected)
+    assert len(got) == pair_total(rows)
+
+
+@pytest.mark.parametrize("strategy", sorted(ENUMERATORS))
+def test_pair_stats(obs_of, strategy):
+    rows = random_rows(5, days=20, places=40, rows=500, hot_share=0.2)
+    got = {tuple(r[:4]): (r[4], r[5]) for r in pair_stats(obs_of(rows), strategy, 6).collect()}
+    assert got == {pair: (len(days), days) for pair, days in brute_stats(rows).items()}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("seed, k", [(1, 1), (2, 7), (3, 40)])
+def test_top_k_against_brute_force(obs_of, strategy, seed, k):
+    rows = random_rows(seed, days=25, places=90, rows=900, hot_share=0.25)
+    assert as_tuples(top_pairs(obs_of(rows), k, strategy, block=10)) == brute_top(rows, k)
+
+
+def test_k_beyond_the_number_of_pairs(obs_of):
+    rows = [("d1", 1.0, 1.0), ("d1", 2.0, 1.0), ("d2", 1.0, 1.0), ("d1", 1.0, 3.0)]
+    assert as_tuples(top_pairs(obs_of(rows), 50)) == brute_top(rows, 50)
+    assert as_tuples(top_pairs(obs_of(rows), 20_000)) == brute_top(rows, 50)
+
+
+def test_all_pairs_tied(obs_of):
+    rows = [(f"d{d}", p / 10, 0.0) for d in range(3) for p in range(12)]
+    tied = as_tuples(tied_winners(obs_of(rows)))
+    assert len(tied) == 66 and {t[4] for t in tied} == {3}
+
+
+def test_rank(obs_of):
+    rows = random_rows(8, days=12, places=30, rows=200)
+    ranked = as_tuples(rank_pairs(top_pairs(obs_of(rows), 5)).orderBy("rank"))
+    assert [r[-1] for r in ranked] == [1, 2, 3, 4, 5]
+    assert [r[:-1] for r in ranked] == brute_top(rows, 5)
+
+
+def test_pruning_drops_cells_but_keeps_the_answer(obs_of):
+    rows = random_rows(11, days=28, places=400, rows=3000)
+    cells = day_cells(obs_of(rows))
+    floor = support_floor(cells, cells.repartition("cell"), 3).first()["floor"]
+    best = brute_top(rows, 3)
+    assert 1 < floor <= best[-1][4]
+    kept = frequent_cells(cells, 3)
+    assert kept.count() < cells.count()
+    assert kept.groupBy("cell").count().agg(F.min("count")).first()[0] >= floor
+    assert as_tuples(top_pairs(obs_of(rows), 3)) == best
+
+
+def test_row_order_and_duplicates_change_nothing(obs_of):
+    rows = random_rows(4, days=15, places=40, rows=300)
+    mixed = rows + rows[::3]
+    random.Random(0).shuffle(mixed)
+    assert as_tuples(top_pairs(obs_of(mixed), 10)) == as_tuples(top_pairs(obs_of(rows), 10))
+
+
+def test_unknown_strategy_and_k(obs_of):
+    obs = obs_of([("d", 1.0, 1.0)])
+    for call in (top_pairs, tied_winners, pair_days, pair_stats):
+        with pytest.raises(ValueError, match="strategy"):
+            call(obs, strategy="guess")
+    with pytest.raises(ValueError, match="positive"):
+        top_pairs(obs, 0)
+
+
+def test_a_hot_day_is_spread_over_units_and_tasks(spark):
+    """One day with 5,000 places: no unit holds it, several tasks work on it, no pair is lost."""
+    day = "concat('2024-01-0', 1 + id div 5000) date"
+    obs = spark.range(5000).selectExpr(day, "id % 100 / 10 lon", "floor(id / 100) / 10 lat")
+    cells = day_cells(obs)
+    assert as_tuples(split_days(cells, 1000)) == [("2024-01-01", 5)]
+    pairs = enumerate_pairs(cells, "blocked", 1000)
+    by_task = pairs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in by_task) == 5000 * 4999 // 2
+    assert len(by_task) >= 4
+    assert max(r["count"] for r in by_task) < 0.5 * 5000 * 4999 / 2
+
+
+def test_given_split_sizes_change_nothing(spark, obs_of):
+    rows = random_rows(6, days=6, places=50, rows=300)
+    cells = day_cells(obs_of(rows))
+    odd = spark.createDataFrame([("2024-01-01", 9), ("2024-01-03", 2), ("1999-01-01", 4)], "date string, blocks bigint")
+    assert enumerate_pairs(cells, split=odd).count() == pair_total(rows)
+
+
+def test_partitions(spark, obs_of):
+    df = obs_of([])
+    cores = spark.sparkContext.defaultParallelism
+    assert pairing_partitions(df, 3) == cores * 3
+    assert pairing_partitions(df) == max(4 * cores, 4)
+
+
+class TestReplication:
+    def test_weak_micro(self, events):
+        obs = replicate(observations(events(MICRO)), 4)
+        assert obs.count() == 20
+        top = as_tuples(top_pairs(obs))
+        assert top == [(*PLACES, 3, [f"2024-03-0{d}-replica-00" for d in (1, 2, 4)])]
+        shift = tuple(x + 1000 for x in PLACES)
+        assert sorted(as_tuples(tied_winners(obs))) == [(*PLACES, 3), (*shift, 3)]
+
+    def test_replicas(self, obs_of):
+        got = sorted(as_tuples(replicate(obs_of([("2024-01-01", 1.5, -2.5)]), 6)))
+        assert got == [
+            ("2024-01-01-replica-00", 1.5, -2.5),
+            ("2024-01-01-replica-01", 1001.5, 997.5),
+            ("2024-01-01-replica-02", 2001.5, 1997.5),
+        ]
+
+    def test_factor_one_changes_nothing(self, obs_of):
+        rows = [("2024-01-01", 1.5, -2.5)]
+        assert as_tuples(replicate(obs_of(rows), 2)) == rows
+
+    @pytest.mark.parametrize("workers", [1, 0, -2, 3])
+    def test_worker_count_is_checked(self, obs_of, workers):
+        with pytest.raises(ValueError):
+            replicate(obs_of([]), workers)
+
+    def test_top_support_is_kept(self, obs_of):
+        rows = random_rows(21, days=15, places=30, rows=300)
+        assert as_tuples(top_pairs(replicate(obs_of(rows), 6)))[0][:5] == brute_top(rows, 1)[0][:5]
+
+
+def test_solution_report(events):
+    report = as_tuples(solution_report(top_pairs(observations(events(MICRO)))))
+    assert report == [
+        (
+            "Pair:    (lon=13.4, lat=38.2) -> (lon=15.1, lat=37.5)",
+            "Times:   2024-03-01, 2024-03-02, 2024-03-04",
+        )
+    ]

@@ -1,0 +1,252 @@
+from __future__ import annotations
+
+import csv
+import math
+import re
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import MICRO, as_tuples
+from pyspark.sql import functions as F
+
+from samedays import (
+    best_config,
+    log_elapsed,
+    metrics_dimensions,
+    metrics_long,
+    metrics_summary,
+    read_metrics,
+    read_results,
+    results_upsert,
+    speedup,
+    strong_efficiency,
+    weak_efficiency,
+    weak_missing_baseline,
+)
+from samedays.functions import text
+from samedays.operators.scaling import peak_efficiency
+from samedays.plans.job import Run, execute_run, plan_run
+from samedays.plans.scaling_tables import write_scaling_tables
+from samedays.sources.metrics import write_results
+from samedays.sources.report import report_name
+
+HEADER = "run,workers,solver,time_p4x,time_p3x,time_p2x\n"
+ROWS = [
+    # run, workers, solver, 4x, 3x, 2x
+    "1,2,S1,40,30,20",
+    "2,2,S1,44,,22",
+    "1,4,S1,20,15,NaN",
+    "1,4,S2,8,9,10",
+    "1,3,S1,30,20,10",
+    "2,3,S1,30,30,30",
+]
+
+
+@pytest.fixture
+def metrics(spark, tmp_path):
+    path = tmp_path / "all.csv"
+    path.write_text(HEADER + "\n".join(ROWS) + "\n")
+    return read_metrics(spark, str(path))
+
+
+@pytest.fixture
+def summary(metrics):
+    return metrics_summary(metrics_long(metrics))
+
+
+def keyed(df, value, *keys):
+    return {tuple(r[k] for k in keys): r[value] for r in df.collect()}
+
+
+def test_required_columns(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("workers,solver,time_p2x\n2,S1,1\n")
+    with pytest.raises(ValueError, match=re.escape("['run', 'time_p3x', 'time_p4x']")):
+        read_metrics(spark, str(path))
+
+
+def test_header_only_table_is_empty(spark, tmp_path):
+    path = tmp_path / "empty.csv"
+    path.write_text(HEADER)
+    metrics = read_metrics(spark, str(path))
+    assert metrics_long(metrics).count() == 0
+    assert speedup(metrics_summary(metrics_long(metrics))).count() == 0
+
+
+def test_long_keeps_missing_times(metrics):
+    long = metrics_long(metrics)
+    assert long.columns == ["workers", "run", "solver", "metric", "time", "partition_multiplier"]
+    assert long.count() == 18
+    assert long.where("time IS NULL").count() == 2
+    assert {(r.metric, r.partition_multiplier) for r in long.collect()} == {
+        ("time_p2x", "2x"),
+        ("time_p3x", "3x"),
+        ("time_p4x", "4x"),
+    }
+
+
+def test_summary(summary):
+    mean = keyed(summary, "mean_time", "workers", "solver", "partition_multiplier")
+    std = keyed(summary, "std_time", "workers", "solver", "partition_multiplier")
+    assert mean[2, "S1", "2x"] == 21 and math.isclose(std[2, "S1", "2x"], math.sqrt(2))
+    assert mean[2, "S1", "3x"] == 30 and std[2, "S1", "3x"] is None
+    assert mean[4, "S1", "2x"] is None and std[4, "S1", "2x"] is None
+
+
+def test_speedup_and_strong(summary):
+    speedups = speedup(summary)
+    ratio = keyed(speedups, "speedup", "solver", "partition_multiplier", "workers")
+    assert ratio["S1", "4x", 4] == 2.1 and ratio["S1", "2x", 3] == 21 / 20
+    assert ratio["S1", "2x", 4] is None and ratio["S2", "2x", 4] is None
+    assert {w for _, _, w in ratio} == {3, 4}
+    strong = keyed(strong_efficiency(speedups), "efficiency", "solver", "partition_multiplier", "workers")
+    assert strong["S1", "4x", 4] == 2.1 / 2 and strong["S1", "2x", 3] == 21 / 20 / 1.5
+
+
+def test_zero_time_is_no_error(spark):
+    rows = [(2, "S", "2x", 0.0, None), (4, "S", "2x", 0.0, None), (2, "S", "3x", 1.0, None), (4, "S", "3x", 0.0, None)]
+    summary = spark.createDataFrame(
+        rows, "workers int, solver string, partition_multiplier string, mean_time double, std_time double"
+    )
+    ratio = keyed(speedup(summary), "speedup", "partition_multiplier")
+    assert math.isnan(ratio[("2x",)]) and ratio[("3x",)] == math.inf
+
+
+def test_weak(summary):
+    weak = weak_efficiency(summary)
+    assert weak.columns == ["solver", "partition_multiplier", "workers", "workload_scale", "efficiency"]
+    got = keyed(weak, "efficiency", "solver", "partition_multiplier", "workers")
+    assert got["S1", "3x", 2] == 1 and got["S1", "3x", 4] == 2 and "S2" not in {s for s, _, _ in got}
+    assert keyed(weak, "workload_scale", "workers") == {(2,): 1.0, (3,): 1.5, (4,): 2.0}
+    assert sorted(as_tuples(weak_missing_baseline(summary))) == [("S2", "2x"), ("S2", "3x"), ("S2", "4x")]
+    assert peak_efficiency(weak).first()[0] == 42 / 20
+
+
+def test_best_and_dimensions(metrics, summary):
+    best = best_config(summary).first()
+    assert (best.workers, best.solver, best.partition_multiplier, best.mean_time) == (4, "S2", "4x", 8)
+    assert as_tuples(metrics_dimensions(metrics)) == [
+        ("solver", "S1"),
+        ("solver", "S2"),
+        ("workers", "2"),
+        ("workers", "3"),
+        ("workers", "4"),
+    ]
+
+
+def read_csv_dir(path):
+    rows = []
+    for part in sorted(path.glob("part-*.csv")):
+        with part.open(newline="") as handle:
+            rows += list(csv.reader(handle))[bool(rows):]
+    return rows
+
+
+def test_tables_on_disk(spark, tmp_path):
+    source = tmp_path / "m.csv"
+    source.write_text(HEADER + "\n".join(ROWS) + "\n")
+    out = tmp_path / "plot"
+    missing = write_scaling_tables(spark, str(source), str(out), str(source))
+    assert missing.count() == 3
+    fast = read_csv_dir(out / "speedup.csv")
+    assert fast[0] == ["solver", "partition_multiplier", "workers", "speedup"]
+    assert fast[1:] == sorted(fast[1:], key=lambda r: (r[0], r[1], int(r[2])))
+    strong, weak = read_csv_dir(out / "strong.csv"), read_csv_dir(out / "weak.csv")
+    assert strong[0] == ["solver", "partition_multiplier", "workers", "efficiency"]
+    assert weak[0] == ["solver", "partition_multiplier", "workers", "workload_scale", "efficiency"]
+    assert len(fast) == len(strong) == 10 and len(weak) == 10
+    assert write_scaling_tables(spark, str(source), str(out)) is None
+    for speed, efficiency in zip(fast[1:], strong[1:]):
+        if speed[3]:
+            assert math.isclose(float(efficiency[3]), float(speed[3]) / (int(speed[2]) / 2))
+
+
+RESULT = "solver string, time_p2x string, time_p3x string, time_p4x string"
+
+
+def test_upsert(spark, tmp_path):
+    old = spark.createDataFrame([("S1", "1.000", "2.000", "3.000"), ("S2", "4.000", None, "6.000")], RESULT)
+    new = spark.createDataFrame([("S2", "7.000", "8.000", None), ("S3", None, "9.000", None)], RESULT)
+    expected = [
+        ("S1", "1.000", "2.000", "3.000"),
+        ("S2", "7.000", "8.000", None),
+        ("S3", None, "9.000", None),
+    ]
+    merged = results_upsert(old, new)
+    assert sorted(as_tuples(merged)) == expected
+    write_results(merged, str(tmp_path / "results"))
+    assert sorted(as_tuples(read_results(spark, str(tmp_path / "results")))) == expected
+
+
+def test_upsert_keeps_columns_the_new_rows_lack(spark):
+    old = spark.createDataFrame([("S1", "1.000", "2.000", "3.000")], RESULT)
+    new = spark.createDataFrame([("S1", "9.000"), ("S2", "5.000")], "solver string, time_p2x string")
+    assert sorted(as_tuples(results_upsert(old, new))) == [
+        ("S1", "9.000", "2.000", "3.000"),
+        ("S2", "5.000", None, None),
+    ]
+    with pytest.raises(ValueError, match="time_p9x"):
+        results_upsert(old, new.withColumnRenamed("time_p2x", "time_p9x"))
+
+
+def test_result_time(spark):
+    df = spark.createDataFrame([(1.0,), (12.3456,), (0.0,), (None,)], "t double")
+    assert [r[0] for r in df.select(text.result_time(F.col("t"))).collect()] == ["1.000", "12.346", None, None]
+
+
+def test_logs(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    filler = "".join(f"line {i}\n" for i in range(2000))
+    (logs / "Solver1_p2x_20240301_101500.log").write_text(filler + "Elapsed time: 12.345 seconds\n" + filler)
+    (logs / "Solver2_p3x_20240301_101501.log").write_text("Elapsed time: 2.5 seconds\nElapsed time: 1.5 seconds\n")
+    (logs / "Solver3_p4x_20240301_101502.log").write_text("failed\n")
+    (logs / "Solver4_p4x_20240301_101503.log").write_text("\n")
+    (logs / "other.log").write_text("x Elapsed time:\t7 s\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = log_elapsed(spark, str(logs)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.file.rsplit("/", 1)[1]: tuple(r[1:]) for r in rows}
+    assert got == {
+        "Solver1_p2x_20240301_101500.log": ("Solver1", 2, "20240301_101500", 12.345),
+        "Solver2_p3x_20240301_101501.log": ("Solver2", 3, "20240301_101501", 2.5),
+        "Solver3_p4x_20240301_101502.log": ("Solver3", 4, "20240301_101502", None),
+        "Solver4_p4x_20240301_101503.log": ("Solver4", 4, "20240301_101503", None),
+        "other.log": (None, None, None, 7.0),
+    }
+
+
+def test_report_name():
+    at = datetime(2024, 3, 1, 9, 5, 7)
+    assert report_name("array", "c", 4, at) == "array_c_coeff4_20240301_090507.txt"
+
+
+def test_run_end_to_end(spark, tmp_path, capsys):
+    path = tmp_path / "dataset.csv"
+    path.write_text("date,latitude,longitude\n" + "".join(",".join(r) + "\n" for r in MICRO))
+    run = Run("blocked", "mini", multiplier=2, workers=4, weak_scaling=True, spread_input=True)
+    outcome = execute_run(spark, str(path), run, report_dir=str(tmp_path / "results"))
+    assert outcome.solution.n_days == 3 and outcome.elapsed > 0
+    lines = [line for part in Path(outcome.report).glob("part-*") for line in part.read_text().splitlines()]
+    assert lines == [
+        "Solver:  blocked",
+        "Cluster: mini",
+        "Coeff:   2",
+        "Pair:    (lon=13.4, lat=38.2) -> (lon=15.1, lat=37.5)",
+        "Times:   2024-03-01-replica-00, 2024-03-02-replica-00, 2024-03-04-replica-00",
+        f"Elapsed: {outcome.elapsed:.3f} seconds",
+    ]
+    assert "Elapsed time: " in capsys.readouterr().out
+    with pytest.raises(ValueError, match="worker"):
+        plan_run(spark, str(path), Run(workers=0))
+
+
+def test_run_without_any_pair(spark, tmp_path):
+    path = tmp_path / "dataset.csv"
+    path.write_text("date,latitude,longitude\n2024-01-01,1,1\n")
+    outcome = execute_run(spark, str(path), report_dir=str(tmp_path / "results"))
+    assert outcome.solution is None and outcome.report is None
