@@ -101,14 +101,14 @@ def _top(strategy: str, k: int = 1, weak: bool = False) -> Query:
 
 
 def day_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = place_events(spark, sf_dir).select(grid.day_key(F.col("date")).alias("date"))
+    days = place_events(spark, sf_dir).select(grid.day_key("date").alias("date"))
     return days.groupBy("date").agg(F.count("*").alias("n"))
 
 
 def grid_round_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     discounts = _table(spark, sf_dir, "lineitem").select((F.lit(0.0) - F.col("l_discount")).alias("x"))
     values = _table(spark, sf_dir, "events").select(F.col("value").alias("x"))
-    return discounts.unionAll(values).select("x", grid.snap(F.col("x")).alias("x_rounded"))
+    return discounts.unionAll(values).select("x", grid.snap("x").alias("x_rounded"))
 
 
 def canonical_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +117,8 @@ def canonical_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_found = F.struct(F.col("a").alias("x"), F.col("b").alias("y"))
     turned = F.struct(F.col("b").alias("x"), F.col("a").alias("y"))
     ready = pairs.select(F.inline(F.array(as_found, turned)))
-    counted = ready.select(*grid.canonical(F.col("x"), F.col("y"))).groupBy("a", "b").count()
-    return counted.select(*grid.pair_columns(F.col("a"), F.col("b")), F.col("count").alias("n"))
+    counted = ready.select(*grid.canonical("x", "y")).groupBy("a", "b").count()
+    return counted.select(*grid.pair_columns(), F.col("count").alias("n"))
 
 
 def summary_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ A cell is (longitude, latitude), both counted in tenths of a degree. Its code is
 one bigint: longitude tenths in the upper 32 bits, latitude tenths plus 2^31 in
 the lower 32. Codes therefore sort like (longitude, latitude), join and group on
 eight bytes, and need no floating-point equality.
+
+The functions take column names (or SQL text) and give columns.
 """
 
 from __future__ import annotations
@@ -19,56 +21,53 @@ _HALF_RANGE = 1 << 31
 _LOW_WORD = (1 << 32) - 1
 
 
-def day_key(date: Column) -> Column:
-    """The first ten characters; a shorter string stays as it is, nothing is parsed."""
-    return F.substring(date, 1, DAY_LENGTH)
+def _tenths(degrees: str) -> str:
+    # Not round (half away from zero) and not bround (half to even): a half goes up.
+    return f"floor({degrees} * {CELLS_PER_DEGREE}D + 0.5D)"
 
 
-def tenths(degrees: Column) -> Column:
-    """Degrees to whole tenths; a half goes up, toward +infinity.
+def _lon(cell: str) -> str:
+    return f"shiftright({cell}, 32) / {CELLS_PER_DEGREE}D"
 
-    Not ``round`` (half away from zero) and not ``bround`` (half to even).
-    """
-    return F.floor(degrees * F.lit(float(CELLS_PER_DEGREE)) + F.lit(0.5))
 
+def _lat(cell: str) -> str:
+    return f"(({cell} & {_LOW_WORD}L) - {_HALF_RANGE}L) / {CELLS_PER_DEGREE}D"
 
-def degrees(cell_tenths: Column) -> Column:
-    return cell_tenths / F.lit(float(CELLS_PER_DEGREE))
+
+def day_key(date: str) -> Column:
+    """The first ten characters; a shorter string stays as it is, nothing is parsed."""
+    return F.expr(f"substring({date}, 1, {DAY_LENGTH})")
 
 
-def snap(x: Column) -> Column:
+def snap(degrees: str) -> Column:
     """Degrees to the grid; never negative zero, as it passes through an integer."""
-    return degrees(tenths(x))
+    return F.expr(f"{_tenths(degrees)} / {CELLS_PER_DEGREE}D")
 
 
-def on_grid(x: Column) -> Column:
+def on_grid(degrees: str) -> Column:
     """True for a number that has a cell: not null, NaN or infinite, and its tenths fit an int."""
     limit = float(_HALF_RANGE - 1) / CELLS_PER_DEGREE
-    return F.coalesce(x.between(-limit, limit), F.lit(False))
+    return F.expr(f"coalesce({degrees} BETWEEN -{limit}D AND {limit}D, false)")
 
 
-def pack(lon: Column, lat: Column) -> Column:
-    return F.shiftleft(tenths(lon), 32) + (tenths(lat) + F.lit(_HALF_RANGE))
+def pack(lon: str, lat: str) -> Column:
+    return F.expr(f"shiftleft({_tenths(lon)}, 32) + ({_tenths(lat)} + {_HALF_RANGE}L)")
 
 
-def cell_lon(cell: Column) -> Column:
-    return degrees(F.shiftright(cell, 32))
+def cell_lon(cell: str) -> Column:
+    return F.expr(_lon(cell))
 
 
-def cell_lat(cell: Column) -> Column:
-    return degrees(cell.bitwiseAND(F.lit(_LOW_WORD)) - F.lit(_HALF_RANGE))
+def cell_lat(cell: str) -> Column:
+    return F.expr(_lat(cell))
 
 
-def pair_columns(a: Column, b: Column) -> list[Column]:
+def pair_columns(a: str = "a", b: str = "b") -> list[Column]:
     """The four output columns of a pair of packed cells."""
-    return [
-        cell_lon(a).alias("lon1"),
-        cell_lat(a).alias("lat1"),
-        cell_lon(b).alias("lon2"),
-        cell_lat(b).alias("lat2"),
-    ]
+    named = {"lon1": _lon(a), "lat1": _lat(a), "lon2": _lon(b), "lat2": _lat(b)}
+    return [F.expr(f"{value} AS {name}") for name, value in named.items()]
 
 
-def canonical(a: Column, b: Column) -> list[Column]:
-    """A ready pair of packed cells, smaller (longitude, latitude) first."""
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def canonical(x: str, y: str) -> list[Column]:
+    """A ready pair of packed cells as (a, b), smaller (longitude, latitude) first."""
+    return [F.expr(f"least({x}, {y}) AS a"), F.expr(f"greatest({x}, {y}) AS b")]

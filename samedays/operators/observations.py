@@ -1,11 +1,11 @@
-"""Raw events to (date, lon, lat) observations, and to distinct (date, cell) rows."""
+"""Raw events to (date, lon, lat) observations, and to distinct (date, cell) or (span, cell) rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samedays.functions import grid
+from samedays.functions import grid, spans
 
 
 def _parsed(df: DataFrame, date: str, latitude: str, longitude: str) -> DataFrame:
@@ -15,23 +15,25 @@ def _parsed(df: DataFrame, date: str, latitude: str, longitude: str) -> DataFram
     ``inline`` keeps Catalyst from copying the parsing into every later filter,
     so each event is parsed once.
     """
+    def name(column: str) -> str:
+        return "`" + column.replace("`", "``") + "`"
+
+    day = F.substring(F.col(name(date)).cast("string"), 1, grid.DAY_LENGTH)
     parsed = F.struct(
-        grid.day_key(F.col(date).cast("string")).alias("day"),
-        F.col(longitude).try_cast("double").alias("x"),
-        F.col(latitude).try_cast("double").alias("y"),
+        day.alias("day"),
+        F.col(name(longitude)).try_cast("double").alias("x"),
+        F.col(name(latitude)).try_cast("double").alias("y"),
     )
     return df.select("*", F.inline(F.array(parsed)))
 
 
 def _usable() -> Column:
-    return F.col("day").isNotNull() & grid.on_grid(F.col("x")) & grid.on_grid(F.col("y"))
+    return F.col("day").isNotNull() & grid.on_grid("x") & grid.on_grid("y")
 
 
 def _snapped(parsed: DataFrame) -> DataFrame:
     return parsed.select(
-        F.col("day").alias("date"),
-        grid.snap(F.col("x")).alias("lon"),
-        grid.snap(F.col("y")).alias("lat"),
+        F.col("day").alias("date"), grid.snap("x").alias("lon"), grid.snap("y").alias("lat")
     )
 
 
@@ -67,8 +69,26 @@ def day_cells(obs: DataFrame) -> DataFrame:
     filter is spelled out so that every reader of this plan has the same plan and
     Spark reuses its one shuffle.
     """
-    cells = obs.select("date", grid.pack(F.col("lon"), F.col("lat")).alias("cell"))
-    return cells.where(F.col("date").isNotNull() & F.col("cell").isNotNull()).distinct()
+    cells = obs.select("date", grid.pack("lon", "lat").alias("cell"))
+    return cells.where("date IS NOT NULL AND cell IS NOT NULL").distinct()
+
+
+def cell_spans(obs: DataFrame) -> DataFrame:
+    """(span, cell, days): the days of one month of a cell as bits of one bigint.
+
+    The same information as ``day_cells``, de-duplicated by OR-ing bits, with up
+    to thirty-one days in a row: partial aggregates and shuffles shrink by as
+    much where cells are active often. Key columns are made non-null (nulls are
+    filtered first), so that no reader adds a null filter and all share one shuffle.
+    """
+    complete = obs.where("date IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
+    numbered = complete.select("date", "lon", "lat", spans.number("date").alias("number"))
+    rows = numbered.select(
+        F.coalesce(spans.span("date", "number"), F.lit("")).alias("span"),
+        F.coalesce(grid.pack("lon", "lat"), F.lit(0)).alias("cell"),
+        spans.day_bit("number").alias("days"),
+    )
+    return rows.groupBy("span", "cell").agg(F.bit_or("days").alias("days"))
 
 
 def daily_locations(obs: DataFrame) -> DataFrame:
@@ -76,9 +96,8 @@ def daily_locations(obs: DataFrame) -> DataFrame:
 
     Flat, because a day's set has no bound that would make it safe as one array.
     """
-    cell = F.col("cell")
     return day_cells(obs).select(
-        "date", grid.cell_lon(cell).alias("lon"), grid.cell_lat(cell).alias("lat")
+        "date", grid.cell_lon("cell").alias("lon"), grid.cell_lat("cell").alias("lat")
     )
 
 

@@ -20,7 +20,7 @@ SEED_CELLS = 64
 MAX_PRUNED_K = 10_000
 
 
-def support_floor(cells: DataFrame, by_cell: DataFrame, k: int) -> DataFrame:
+def support_floor(rows: DataFrame, by_cell: DataFrame, k: int) -> DataFrame:
     """One row, one column: days that each of the k best pairs has at least.
 
     The seeds are the busiest cells, at most a few hundred by MAX_PRUNED_K. Any
@@ -28,28 +28,28 @@ def support_floor(cells: DataFrame, by_cell: DataFrame, k: int) -> DataFrame:
     """
     seeds = (
         by_cell.groupBy("cell")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum(F.bit_count("days")).alias("n"))
         .orderBy(F.desc("n"), "cell")
         .limit(max(SEED_CELLS, isqrt(2 * k) + 2))
         .select("cell")
     )
-    days = cells.join(seeds, "cell").groupBy("date").agg(F.collect_set("cell").alias("seen"))
-    firsts = days.select("seen", F.explode("seen").alias("a"))
-    pairs = firsts.select("a", F.explode("seen").alias("b")).where(F.col("a") < F.col("b"))
-    best = count_pairs(pairs).orderBy(F.desc("n_days"), "a", "b").limit(k)
+    active = rows.join(seeds, "cell").groupBy("span").agg(F.expr("collect_list(struct(cell, days)) AS seen"))
+    firsts = active.selectExpr("seen", "inline(seen) AS (a, a_days)")
+    pairs = firsts.selectExpr("a", "a_days", "inline(seen) AS (b, b_days)")
+    together = pairs.where("a < b AND (a_days & b_days) <> 0").selectExpr("a", "b", "a_days & b_days AS days")
+    counts = count_pairs(together)
+    best = counts.orderBy(F.desc("n_days"), "a", "b").limit(k)
     floor = F.when(F.count("*") == k, F.min("n_days")).otherwise(F.lit(1))
     return best.agg(floor.alias("floor"))
 
 
-def frequent_cells(cells: DataFrame, k: int) -> DataFrame:
-    """The rows of ``cells`` whose cell may be in one of the k best pairs.
+def frequent_cells(rows: DataFrame, k: int) -> DataFrame:
+    """The rows (span, cell, days) whose cell may be in one of the k best pairs.
 
-    One shuffle by cell serves both the seeds and the day counts. After
-    ``day_cells`` a cell has one row per day, so no cell is a hot key here.
+    One shuffle by cell serves both the seeds and the day counts. A cell has one
+    row per span here, so no cell is a hot key.
     """
-    by_cell = cells.repartition("cell")
-    days_of_cell = F.count("*").over(Window.partitionBy("cell"))
-    floor = support_floor(cells, by_cell, k).scalar()
-    return (
-        by_cell.withColumn("n", days_of_cell).where(F.col("n") >= floor).select("date", "cell")
-    )
+    by_cell = rows.repartition("cell")
+    days_of_cell = F.sum(F.bit_count("days")).over(Window.partitionBy("cell"))
+    floor = support_floor(rows, by_cell, k).scalar()
+    return by_cell.withColumn("n", days_of_cell).where(F.col("n") >= floor).select("span", "cell", "days")

@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from samedays.functions import grid
-from samedays.operators.observations import day_cells
-from samedays.operators.pairing import BLOCK, ENUMERATORS, count_pairs, enumerate_pairs, split_days
+from samedays.functions import grid, spans
+from samedays.operators.observations import cell_spans, day_cells
+from samedays.operators.pairing import (
+    BLOCK,
+    check_strategy,
+    count_pairs,
+    enumerate_pairs,
+    enumerate_span_pairs,
+    split_groups,
+)
 from samedays.operators.pruning import MAX_PRUNED_K, frequent_cells
 
-STRATEGIES = ("count_first", *ENUMERATORS)
 
-
-def _pair_counts(
-    cells: DataFrame, k: int, strategy: str, block: int, multiplier: int | None
-) -> DataFrame:
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy!r}, expected one of {sorted(STRATEGIES)}")
+def _counted(
+    obs: DataFrame, k: int, strategy: str, block: int, multiplier: int | None
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Pair counts, the rows per cell they come from, and the days of such a row."""
+    check_strategy(strategy)
     if strategy != "count_first":
-        return count_pairs(enumerate_pairs(cells, strategy, block, multiplier))
-    # Days are cut by their size before pruning: an upper bound, and a smaller plan.
-    split = split_days(cells, block)
-    kept = frequent_cells(cells, k) if k <= MAX_PRUNED_K else cells
-    return count_pairs(enumerate_pairs(kept, "blocked", block, multiplier, split))
+        rows = day_cells(obs)
+        return count_pairs(enumerate_pairs(rows, strategy, block, multiplier)), rows, F.array("date")
+    rows = cell_spans(obs)
+    # Groups are cut by their size before pruning: an upper bound, and a smaller plan.
+    split = split_groups(rows, "span", block)
+    kept = frequent_cells(rows, k) if k <= MAX_PRUNED_K else rows
+    counts = count_pairs(enumerate_span_pairs(kept, split, multiplier))
+    return counts, rows, spans.dates("span", "days")
 
 
 def _best_first() -> list:
@@ -46,19 +54,19 @@ def top_pairs(
     """
     if k < 1:
         raise ValueError(f"k must be positive, found {k}")
-    cells = day_cells(obs)
-    counts = _pair_counts(cells, k, strategy, block, multiplier)
+    counts, rows, days_of_row = _counted(obs, k, strategy, block, multiplier)
     winners = counts.orderBy(*_best_first()).limit(k)
     members = winners.select("a", "b", F.explode(F.array("a", "b")).alias("cell"))
     together = (
-        cells.join(members, "cell")
+        rows.join(members, "cell")
+        .select("a", "b", F.explode(days_of_row).alias("date"))
         .groupBy("a", "b", "date")
         .agg(F.count("*").alias("present"))
         .where(F.col("present") == 2)
     )
     days = together.groupBy("a", "b").agg(F.array_sort(F.collect_list("date")).alias("times"))
     ranked = days.withColumn("n_days", F.size("times").cast("bigint"))
-    return ranked.orderBy(*_best_first()).limit(k).select(*grid.pair_columns(F.col("a"), F.col("b")), "n_days", "times")
+    return ranked.orderBy(*_best_first()).limit(k).select(*grid.pair_columns(), "n_days", "times")
 
 
 def rank_pairs(top: DataFrame) -> DataFrame:
@@ -74,8 +82,8 @@ def tied_winners(
     multiplier: int | None = None,
 ) -> DataFrame:
     """Every pair with the greatest number of days: lon1, lat1, lon2, lat2, n_days."""
-    counts = _pair_counts(day_cells(obs), 1, strategy, block, multiplier)
+    counts, _, _ = _counted(obs, 1, strategy, block, multiplier)
     # One-row side; both sides read the same shuffle of pair counts.
     most = counts.agg(F.max("n_days").alias("n_days"))
     tied = counts.join(most, "n_days")
-    return tied.select(*grid.pair_columns(F.col("a"), F.col("b")), "n_days")
+    return tied.select(*grid.pair_columns(), "n_days")

@@ -15,7 +15,7 @@ HEADER = "id,Place,longitude,date,latitude,depth\n"
 
 def test_rounding_goes_up_at_the_half(spark):
     values = [-12.25, 0.05, -0.05, 12.25, 15.14, -70.55, -0.04, 179.95, 0.25, -0.25]
-    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", grid.snap(F.col("x")))
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", grid.snap("x"))
     got = as_tuples(df)
     assert got == [(x, snapped(x)) for x, _ in got]
     assert dict(got)[-12.25] == -12.2
@@ -25,9 +25,9 @@ def test_rounding_goes_up_at_the_half(spark):
 
 def test_packed_code_round_trip_and_order(spark):
     places = [(lon / 10, lat / 10) for lon in (-1800, -1, 0, 3, 1799, 99999) for lat in (-900, -1, 0, 899, 10899)]
-    code = grid.pack(F.col("lon"), F.col("lat"))
+    code = grid.pack("lon", "lat")
     df = spark.createDataFrame(places, "lon double, lat double").withColumn("c", code)
-    back = df.select("lon", "lat", grid.cell_lon(F.col("c")), grid.cell_lat(F.col("c")), "c").collect()
+    back = df.select("lon", "lat", grid.cell_lon("c"), grid.cell_lat("c"), "c").collect()
     assert all(r[0] == r[2] and r[1] == r[3] for r in back)
     assert [(r[0], r[1]) for r in sorted(back, key=lambda r: r[4])] == sorted(places)
 

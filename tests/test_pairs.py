@@ -7,10 +7,16 @@ from conftest import MICRO, as_tuples, brute_stats, brute_top, pair_total, rando
 from pyspark.sql import functions as F
 
 from samedays import observations, pair_days, pair_stats, rank_pairs, replicate, tied_winners, top_pairs
-from samedays.operators.observations import day_cells
-from samedays.operators.pairing import ENUMERATORS, enumerate_pairs, pairing_partitions, split_days
+from samedays.functions import spans
+from samedays.operators.observations import cell_spans, day_cells
+from samedays.operators.pairing import (
+    STRATEGIES,
+    enumerate_pairs,
+    enumerate_span_pairs,
+    pairing_partitions,
+    split_groups,
+)
 from samedays.operators.pruning import frequent_cells, support_floor
-from samedays.operators.ranking import STRATEGIES
 from samedays.sources.report import solution_report
 
 PLACES = (13.4, 38.2, 15.1, 37.5)
@@ -38,7 +44,7 @@ def test_without_a_pair_the_result_is_empty(events, strategy, rows):
     assert as_tuples(tied_winners(obs, strategy)) == []
 
 
-@pytest.mark.parametrize("strategy", sorted(ENUMERATORS))
+@pytest.mark.parametrize("strategy", STRATEGIES)
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
 def test_every_pair_day_exactly_once(obs_of, strategy, block):
     rows = random_rows(block, days=9, places=60, rows=400, hot_share=0.3)
@@ -48,7 +54,7 @@ def test_every_pair_day_exactly_once(obs_of, strategy, block):
     assert len(got) == pair_total(rows)
 
 
-@pytest.mark.parametrize("strategy", sorted(ENUMERATORS))
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_pair_stats(obs_of, strategy):
     rows = random_rows(5, days=20, places=40, rows=500, hot_share=0.2)
     got = {tuple(r[:4]): (r[4], r[5]) for r in pair_stats(obs_of(rows), strategy, 6).collect()}
@@ -83,13 +89,14 @@ def test_rank(obs_of):
 
 def test_pruning_drops_cells_but_keeps_the_answer(obs_of):
     rows = random_rows(11, days=28, places=400, rows=3000)
-    cells = day_cells(obs_of(rows))
+    cells = cell_spans(obs_of(rows))
     floor = support_floor(cells, cells.repartition("cell"), 3).first()["floor"]
     best = brute_top(rows, 3)
     assert 1 < floor <= best[-1][4]
     kept = frequent_cells(cells, 3)
     assert kept.count() < cells.count()
-    assert kept.groupBy("cell").count().agg(F.min("count")).first()[0] >= floor
+    days = kept.groupBy("cell").agg(F.sum(F.bit_count("days")).alias("n"))
+    assert days.agg(F.min("n")).first()[0] >= floor
     assert as_tuples(top_pairs(obs_of(rows), 3)) == best
 
 
@@ -114,7 +121,7 @@ def test_a_hot_day_is_spread_over_units_and_tasks(spark):
     day = "concat('2024-01-0', 1 + id div 5000) date"
     obs = spark.range(5000).selectExpr(day, "id % 100 / 10 lon", "floor(id / 100) / 10 lat")
     cells = day_cells(obs)
-    assert as_tuples(split_days(cells, 1000)) == [("2024-01-01", 5)]
+    assert as_tuples(split_groups(cells, "date", 1000)) == [("2024-01-01", 5)]
     pairs = enumerate_pairs(cells, "blocked", 1000)
     by_task = pairs.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in by_task) == 5000 * 4999 // 2
@@ -122,11 +129,61 @@ def test_a_hot_day_is_spread_over_units_and_tasks(spark):
     assert max(r["count"] for r in by_task) < 0.5 * 5000 * 4999 / 2
 
 
-def test_given_split_sizes_change_nothing(spark, obs_of):
-    rows = random_rows(6, days=6, places=50, rows=300)
-    cells = day_cells(obs_of(rows))
-    odd = spark.createDataFrame([("2024-01-01", 9), ("2024-01-03", 2), ("1999-01-01", 4)], "date string, blocks bigint")
-    assert enumerate_pairs(cells, split=odd).count() == pair_total(rows)
+def test_any_split_gives_the_same_pairs(spark, obs_of):
+    rows = random_rows(6, days=40, places=50, rows=600)
+    cells = cell_spans(obs_of(rows))
+    odd = spark.createDataFrame([("2024-01-??", 9), ("1999-01-??", 4)], "span string, blocks bigint")
+    pairs = enumerate_span_pairs(cells, odd)
+    assert pairs.agg(F.sum(F.bit_count("days"))).first()[0] == pair_total(rows)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.9])
+def test_sparse_and_dense_spans(obs_of, share):
+    """Months with few and with many days per cell take different routes to the same pairs."""
+    rng = random.Random(3)
+    rows = [
+        (f"2024-{m:02d}-{d:02d}", p / 10, -p / 10)
+        for m in (1, 2)
+        for d in range(1, 29)
+        for p in range(20)
+        if rng.random() < (share if m == 1 else 0.3)
+    ]
+    got = {tuple(r[:4]): (r[4], r[5]) for r in pair_stats(obs_of(rows), block=7).collect()}
+    assert got == {pair: (len(days), days) for pair, days in brute_stats(rows).items()}
+
+
+ODD_DATES = [
+    "2024-03-07",
+    "2024-03-00",
+    "2024-03-62",
+    "2024-03-63",
+    "2024-03-99",
+    "2024",
+    "",
+    "2024-03-0a",
+    "2024-03- 5",
+    "2024-03-05",
+    "2024-03-??",
+    "2024-03-07-replica-01",
+    "2024-03-??-replica-01",
+    "h\u00e9llo-w\u00f6rld",
+    "\u65e5\u672c\u8a9e\u65e5\u672c\u8a9e\u65e5\u672c12",
+    "2024-03-\u0663\u0664",
+]
+
+
+def test_span_and_bit_give_the_day_back(spark, obs_of):
+    numbered = obs_of([(d, 0.0, 0.0) for d in ODD_DATES]).withColumn("n", spans.number("date"))
+    coded = numbered.select("date", spans.span("date", "n").alias("span"), spans.day_bit("n").alias("days"))
+    rows = coded.select("*", spans.dates("span", "days").alias("back")).collect()
+    assert [r.back for r in rows] == [[d] for d in ODD_DATES]
+    assert len({(r.span, r.days) for r in rows}) == len(ODD_DATES)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_days_that_are_no_calendar_dates(obs_of, strategy):
+    rows = [(d, p / 10, 0.0) for i, d in enumerate(ODD_DATES) for p in range(4) if (i + p) % 3]
+    assert as_tuples(top_pairs(obs_of(rows), 6, strategy)) == brute_top(rows, 6)
 
 
 def test_partitions(spark, obs_of):
