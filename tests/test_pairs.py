@@ -196,7 +196,7 @@ def test_partitions(spark, obs_of):
     df = obs_of([])
     cores = spark.sparkContext.defaultParallelism
     assert pairing_partitions(df, 3) == cores * 3
-    assert pairing_partitions(df) == max(2 * cores, 4)
+    assert pairing_partitions(df) == 2 * cores
 
 
 class TestReplication:
