@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,30 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def digest_of(parts: Iterable[str]) -> str:
-    """Spans joined by commas, as the contracts have them."""
-    return ",".join(parts)
+#: ASCII letters in lower case and digits as they are, other ASCII characters as spaces, bytes beyond ASCII as they are.
+_PLAIN = bytes(b if chr(b).isalnum() else 32 for b in range(128)).lower() + bytes(range(128, 256))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """The words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of a text with A-Z in lower case."""
+    return (text or "").encode().translate(_PLAIN).split()
+
+
+def document_frequencies(texts: DataFrame, numbers: Mapping[bytes, int]) -> DataFrame:
+    """(word, n): in how many rows of `text` each numbered word stands; word -1 counts the rows.
+
+    `numbers` gives each word of a bounded vocabulary its number from 0. A task sends one row per word.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(dict(numbers))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        total = np.zeros(len(known) + 1, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                total[[known[w] for w in known.keys() & set(plain_words(text))]] += 1
+            total[-1] += len(batch)
+        number = np.append(np.arange(len(known)), -1)
+        yield pd.DataFrame({"word": number, "n": total})[total > 0]
+
+    return texts.select("text").mapInPandas(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samedays.llm.common import lower_ascii
+from samedays.llm.common import Scratch, lower_ascii
 
 #: (verdict, host, path), as given. A rule's text is host + path.
 RULES = (
@@ -75,7 +75,7 @@ def _shrunk(groups: DataFrame, level: str) -> DataFrame:
         F.sum(F.col("n") * F.pow(F.col("good") / F.col("n") - F.col("parent_rate"), 2) - base).alias("excess"),
         F.sum((F.col("n") - 1) * base).alias("scale"),
     )
-    share = F.least(F.greatest(F.col("excess") / F.col("scale"), F.lit(1 / STRENGTH[1])), F.lit(1 / STRENGTH[0]))
+    share = F.least(F.greatest(F.try_divide("excess", "scale"), F.lit(1 / STRENGTH[1])), F.lit(1 / STRENGTH[0]))
     strength = moments.select(F.coalesce(1 / share, F.lit(STRENGTH[1])).alias("strength"))
     # one row of one number
     shrunk = groups.join(F.broadcast(strength))
@@ -86,9 +86,11 @@ def _shrunk(groups: DataFrame, level: str) -> DataFrame:
 def host_reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
     """Shrunk rates by level from rows (host, good): good is 1 or 0, or null if not known.
 
-    Keys: `all` (one row: rate), `suffix`, `domain`, `host` (name, rate, n, good, strength columns).
+    Keys: `all` (one row: rate), `suffix`, `domain`, `host` (name, rate, n, good, strength columns). Each level is
+    written once: a row per name, read again by the level below and by whoever joins it.
     """
-    counted = (
+    scratch = Scratch(outcomes.sparkSession, "reputation")
+    counted = scratch.keep(
         outcomes.filter(F.col("good").isNotNull() & (F.col("host") != ""))
         .groupBy("host")
         .agg(F.count("*").cast("double").alias("n"), F.sum("good").cast("double").alias("good"))
@@ -96,16 +98,17 @@ def host_reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
     )
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     # a uniform prior keeps the rate inside (0, 1) whatever the labels are
-    everything = counted.agg(((F.coalesce(F.sum("good"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("parent_rate"))
-    suffixes = _shrunk(counted.groupBy("suffix").agg(*sums).join(F.broadcast(everything)), "suffix")
+    prior = (F.coalesce(F.sum("good"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)
+    everything = scratch.keep(counted.agg(prior.alias("parent_rate")))
+    suffixes = scratch.keep(_shrunk(counted.groupBy("suffix").agg(*sums).join(F.broadcast(everything)), "suffix"))
     domains = counted.groupBy("suffix", "domain").agg(*sums)
-    domains = _shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("parent_rate")), "suffix"), "domain")
+    domains = scratch.keep(_shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("parent_rate")), "suffix"), "domain"))
     hosts = counted.select("host", "domain", "n", "good").join(domains.select("domain", F.col("rate").alias("parent_rate")), "domain")
     return {
         "all": everything.withColumnRenamed("parent_rate", "rate"),
         "suffix": suffixes,
         "domain": domains,
-        "host": _shrunk(hosts, "host"),
+        "host": scratch.keep(_shrunk(hosts, "host")),
     }
 
 
