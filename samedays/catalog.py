@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from samedays.functions import grid, text
 from samedays.operators.observations import daily_location_counts, daily_locations, day_cells, observations
-from samedays.operators.pairing import enumerate_pairs, pair_days, pair_stats
+from samedays.operators.pairing import enumerate_pairs, pair_days_by_date, pair_stats
 from samedays.operators.ranking import rank_pairs, tied_winners, top_pairs
 from samedays.operators.replication import replicate
 from samedays.operators.results import results_upsert
@@ -112,11 +112,10 @@ def grid_round_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each pair of a day in both orders, brought into one order and counted."""
+    """Each pair of a day once, every other one turned round by a hash, brought into one order and counted."""
     pairs = enumerate_pairs(day_cells(place_observations(spark, sf_dir)))
-    as_found = F.struct(F.col("a").alias("x"), F.col("b").alias("y"))
-    turned = F.struct(F.col("b").alias("x"), F.col("a").alias("y"))
-    ready = pairs.select(F.inline(F.array(as_found, turned)))
+    turned = F.pmod(F.xxhash64("date", "a", "b"), F.lit(2)) == 1
+    ready = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("x"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("y"))
     counted = ready.select(*grid.canonical("x", "y")).groupBy("a", "b").count()
     return counted.select(*grid.pair_columns(), F.col("count").alias("n"))
 
@@ -173,7 +172,7 @@ QUERIES: dict[str, Query] = {
     "daily_locations": lambda s, d: daily_location_counts(place_observations(s, d)),
     "location_days": lambda s, d: daily_locations(place_observations(s, d)),
     "canonical_pairs": canonical_pairs_query,
-    "pair_days": lambda s, d: pair_days(place_observations(s, d)),
+    "pair_days": lambda s, d: pair_days_by_date(place_observations(s, d)),
     "pair_stats": lambda s, d: _joined_times(pair_stats(place_observations(s, d))),
     "top_pair": _top("count_first"),
     "top_pair_join": _top("join"),
@@ -230,6 +229,9 @@ SELECT lon1, lat1, lon2, lat2, count(*) AS n_days, string_agg(date, ', ' ORDER B
 FROM pairs GROUP BY lon1, lat1, lon2, lat2"""
 
 
+_TENTHS_SQL = ", ".join(
+    f"cast(sum(cast(round({name} * 10) AS bigint)) AS bigint) AS {name}_tenths" for name in ("lon1", "lat1", "lon2", "lat2")
+)
 _BEST_FIRST = "ORDER BY n_days DESC, lon1, lat1, lon2, lat2"
 _TOP_SQL = f"{_stats_sql()} {_BEST_FIRST} LIMIT 1"
 
@@ -284,9 +286,11 @@ SELECT date, count(DISTINCT (lon, lat)) AS n_locations FROM placed GROUP BY date
   FROM obs a JOIN obs b ON a.date = b.date AND (a.lon <> b.lon OR a.lat <> b.lat))
 SELECT CASE WHEN sorted THEN alon ELSE blon END AS lon1, CASE WHEN sorted THEN alat ELSE blat END AS lat1,
        CASE WHEN sorted THEN blon ELSE alon END AS lon2, CASE WHEN sorted THEN blat ELSE alat END AS lat2,
-       count(*) AS n
+       count(*) // 2 AS n
 FROM both_orders GROUP BY 1, 2, 3, 4""",
-    "pair_days": f"{_with_pairs()} SELECT lon1, lat1, lon2, lat2, date FROM pairs",
+    "pair_days": f"""{_with_pairs()}
+SELECT date, count(*) AS n_pairs, {_TENTHS_SQL}
+FROM pairs GROUP BY date""",
     "pair_stats": _stats_sql(),
     "top_pair": _TOP_SQL,
     "top_pair_join": _TOP_SQL,
@@ -323,7 +327,7 @@ SELECT max(round(baseline / mean_time, 6)) AS max_efficiency FROM based WHERE ba
 FROM (SELECT * FROM summary ORDER BY mean_time, workers, solver, partition_multiplier LIMIT 1)""",
     "log_elapsed": r"""SELECT event_id, try_cast(regexp_extract(
   'run ' || event_id || chr(10) || 'Elapsed time: ' || value || ' seconds' || chr(10),
-  'Elapsed time:\s*(\S+)', 1) AS double) AS elapsed FROM events""",
+  'Elapsed time:[ \t]*(\S+)', 1) AS double) AS elapsed FROM events""",
     "log_run_keys": """SELECT event_id, 'Solver' || cast(1 + user_id % 5 AS varchar) AS solver,
   cast(2 + event_id % 3 AS integer) AS multiplier, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events""",
     "results_upsert": _upsert_sql(),

@@ -26,12 +26,25 @@ def _tenths(degrees: str) -> str:
     return f"floor({degrees} * {CELLS_PER_DEGREE}D + 0.5D)"
 
 
+def _lon_tenths(cell: str) -> str:
+    return f"shiftright({cell}, 32)"
+
+
+def _lat_tenths(cell: str) -> str:
+    return f"(({cell} & {_LOW_WORD}L) - {_HALF_RANGE}L)"
+
+
 def _lon(cell: str) -> str:
-    return f"shiftright({cell}, 32) / {CELLS_PER_DEGREE}D"
+    return f"{_lon_tenths(cell)} / {CELLS_PER_DEGREE}D"
 
 
 def _lat(cell: str) -> str:
-    return f"(({cell} & {_LOW_WORD}L) - {_HALF_RANGE}L) / {CELLS_PER_DEGREE}D"
+    return f"{_lat_tenths(cell)} / {CELLS_PER_DEGREE}D"
+
+
+def _on_grid(degrees: str) -> str:
+    limit = float(_HALF_RANGE - 1) / CELLS_PER_DEGREE
+    return f"coalesce({degrees} BETWEEN -{limit}D AND {limit}D, false)"
 
 
 def day_key(date: str) -> Column:
@@ -46,12 +59,24 @@ def snap(degrees: str) -> Column:
 
 def on_grid(degrees: str) -> Column:
     """True for a number that has a cell: not null, NaN or infinite, and its tenths fit an int."""
-    limit = float(_HALF_RANGE - 1) / CELLS_PER_DEGREE
-    return F.expr(f"coalesce({degrees} BETWEEN -{limit}D AND {limit}D, false)")
+    return F.expr(_on_grid(degrees))
 
 
 def pack(lon: str, lat: str) -> Column:
-    return F.expr(f"shiftleft({_tenths(lon)}, 32) + ({_tenths(lat)} + {_HALF_RANGE}L)")
+    """The code of a cell; null for a null coordinate, and an error for one that has no cell."""
+    code = f"shiftleft({_tenths(lon)}, 32) + ({_tenths(lat)} + {_HALF_RANGE}L)"
+    missing = f"{lon} IS NULL OR {lat} IS NULL"
+    complaint = f"concat('no cell for longitude ', {lon}, ' and latitude ', {lat})"
+    inside = f"{_on_grid(lon)} AND {_on_grid(lat)}"
+    return F.expr(f"CASE WHEN {missing} THEN NULL WHEN {inside} THEN {code} ELSE raise_error({complaint}) END")
+
+
+def lon_tenths(cell: str) -> Column:
+    return F.expr(_lon_tenths(cell))
+
+
+def lat_tenths(cell: str) -> Column:
+    return F.expr(_lat_tenths(cell))
 
 
 def cell_lon(cell: str) -> Column:

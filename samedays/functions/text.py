@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The formats that report readers, log scans and result tables agree on.
 ELAPSED_MARK = "Elapsed time:"
-ELAPSED_PATTERN = r"Elapsed time:\s*(\S+)"
+ELAPSED_PATTERN = r"Elapsed time:[ \t]*(\S+)"
 LOG_NAME_PATTERN = r"([^/]+)_p(\d+)x_(\d{8}_\d{6})\.log$"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
 REPLICA_FORMAT = "%s-replica-%02d"

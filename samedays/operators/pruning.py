@@ -11,45 +11,32 @@ from __future__ import annotations
 from math import isqrt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from samedays.operators.pairing import count_pairs
+from samedays.operators.pairing import BLOCK, active_cells, count_pairs, enumerate_span_pairs
 
 SEED_CELLS = 64
-MAX_PRUNED_K = 10_000
 
 
-def support_floor(rows: DataFrame, by_cell: DataFrame, k: int) -> DataFrame:
+def seed_cells(k: int) -> int:
+    """As many of the busiest cells as have k pairs among them, and never fewer than SEED_CELLS."""
+    return max(SEED_CELLS, isqrt(2 * k) + 2)
+
+
+def support_floor(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int | None = None) -> DataFrame:
     """One row, one column: days that each of the k best pairs has at least.
 
-    The seeds are the busiest cells, at most a few hundred by MAX_PRUNED_K. Any
-    choice of seeds gives a valid floor; with too few pairs among them it is 1.
+    Any choice of seeds gives a valid floor; with too few pairs among them it is 1.
+    Seeds are paired in the same bounded units as all cells, whatever their number.
     """
-    seeds = (
-        by_cell.groupBy("cell")
-        .agg(F.sum(F.bit_count("days")).alias("n"))
-        .orderBy(F.desc("n"), "cell")
-        .limit(max(SEED_CELLS, isqrt(2 * k) + 2))
-        .select("cell")
-    )
-    active = rows.join(seeds, "cell").groupBy("span").agg(F.expr("collect_list(struct(cell, days)) AS seen"))
-    firsts = active.selectExpr("seen", "inline(seen) AS (a, a_days)")
-    pairs = firsts.selectExpr("a", "a_days", "inline(seen) AS (b, b_days)")
-    together = pairs.where("a < b AND (a_days & b_days) <> 0").selectExpr("a", "b", "a_days & b_days AS days")
-    counts = count_pairs(together)
+    busiest = rows.groupBy("cell").agg(F.sum(F.bit_count("days")).alias("n")).orderBy(F.desc("n"), "cell")
+    seeds = busiest.limit(seed_cells(k)).select("cell")
+    counts = count_pairs(enumerate_span_pairs(rows.join(seeds, "cell", "left_semi"), block, multiplier))
     best = counts.orderBy(F.desc("n_days"), "a", "b").limit(k)
     floor = F.when(F.count("*") == k, F.min("n_days")).otherwise(F.lit(1))
     return best.agg(floor.alias("floor"))
 
 
-def frequent_cells(rows: DataFrame, k: int) -> DataFrame:
-    """The rows (span, cell, days) whose cell may be in one of the k best pairs.
-
-    One shuffle by cell serves both the seeds and the day counts. A cell has one
-    row per span here, so no cell is a hot key.
-    """
-    by_cell = rows.repartition("cell")
-    days_of_cell = F.sum(F.bit_count("days")).over(Window.partitionBy("cell"))
-    floor = support_floor(rows, by_cell, k).scalar()
-    return by_cell.withColumn("n", days_of_cell).where(F.col("n") >= floor).select("span", "cell", "days")
+def frequent_cells(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int | None = None) -> DataFrame:
+    """The rows (span, cell, days) whose cell may be in one of the k best pairs."""
+    return active_cells(rows, support_floor(rows, k, block, multiplier).scalar())

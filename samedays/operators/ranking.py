@@ -2,37 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from samedays.functions import grid, spans
-from samedays.operators.observations import cell_spans, day_cells
+from samedays.operators.observations import cell_spans
 from samedays.operators.pairing import (
     BLOCK,
     check_strategy,
     count_pairs,
     enumerate_pairs,
     enumerate_span_pairs,
-    split_groups,
+    listed_days,
 )
-from samedays.operators.pruning import MAX_PRUNED_K, frequent_cells
+from samedays.operators.pruning import frequent_cells
 
 
 def _counted(
     obs: DataFrame, k: int, strategy: str, block: int, multiplier: int | None
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Pair counts, the rows per cell they come from, and the days of such a row."""
+) -> tuple[DataFrame, DataFrame]:
+    """Pair counts, and the rows (span, cell, days) they come from.
+
+    Every strategy pairs only cells that may be in one of the k best pairs. Groups are
+    cut by their size before pruning: an upper bound, and a smaller plan.
+    """
     check_strategy(strategy)
-    if strategy != "count_first":
-        rows = day_cells(obs)
-        return count_pairs(enumerate_pairs(rows, strategy, block, multiplier)), rows, F.array("date")
     rows = cell_spans(obs)
-    # Groups are cut by their size before pruning: an upper bound, and a smaller plan.
-    split = split_groups(rows, "span", block)
-    kept = frequent_cells(rows, k) if k <= MAX_PRUNED_K else rows
-    counts = count_pairs(enumerate_span_pairs(kept, split, multiplier))
-    return counts, rows, spans.dates("span", "days")
+    kept = frequent_cells(rows, k, block, multiplier)
+    if strategy == "count_first":
+        return count_pairs(enumerate_span_pairs(kept, block, multiplier, sized=rows)), rows
+    return count_pairs(enumerate_pairs(listed_days(kept), strategy, block, multiplier)), rows
 
 
 def _best_first() -> list:
@@ -54,17 +54,18 @@ def top_pairs(
     """
     if k < 1:
         raise ValueError(f"k must be positive, found {k}")
-    counts, rows, days_of_row = _counted(obs, k, strategy, block, multiplier)
+    counts, rows = _counted(obs, k, strategy, block, multiplier)
     winners = counts.orderBy(*_best_first()).limit(k)
     members = winners.select("a", "b", F.explode(F.array("a", "b")).alias("cell"))
+    # Both cells' days of a span meet as bits; only days in common are spelled out.
     together = (
         rows.join(members, "cell")
-        .select("a", "b", F.explode(days_of_row).alias("date"))
-        .groupBy("a", "b", "date")
-        .agg(F.count("*").alias("present"))
-        .where(F.col("present") == 2)
+        .groupBy("a", "b", "span")
+        .agg(F.count("*").alias("present"), F.bit_and("days").alias("days"))
+        .where((F.col("present") == 2) & (F.col("days") != 0))
+        .select("a", "b", spans.dates("span", "days").alias("dates"))
     )
-    days = together.groupBy("a", "b").agg(F.array_sort(F.collect_list("date")).alias("times"))
+    days = together.groupBy("a", "b").agg(F.array_sort(F.flatten(F.collect_list("dates"))).alias("times"))
     ranked = days.withColumn("n_days", F.size("times").cast("bigint"))
     return ranked.orderBy(*_best_first()).limit(k).select(*grid.pair_columns(), "n_days", "times")
 
@@ -82,7 +83,7 @@ def tied_winners(
     multiplier: int | None = None,
 ) -> DataFrame:
     """Every pair with the greatest number of days: lon1, lat1, lon2, lat2, n_days."""
-    counts, _, _ = _counted(obs, 1, strategy, block, multiplier)
+    counts, _ = _counted(obs, 1, strategy, block, multiplier)
     # One-row side; both sides read the same shuffle of pair counts.
     most = counts.agg(F.max("n_days").alias("n_days"))
     tied = counts.join(most, "n_days")

@@ -13,17 +13,28 @@ def results_upsert(old: DataFrame, new: DataFrame, key: str = "solver") -> DataF
     (null) time of a failed run; columns that ``new`` lacks keep their old value.
     Keys of ``old`` alone stay, keys of ``new`` alone are added. Write the result
     to a path of its own: Spark cannot overwrite what it is reading.
+
+    Column names match whatever their case; the result spells them as ``old`` does.
     """
-    unknown = sorted(set(new.columns) - set(old.columns))
-    if key not in new.columns or unknown:
-        raise ValueError(f"new rows need column {key!r} and only known columns, unknown: {unknown}")
-    update = new.withColumn("is_new", F.lit(True)).alias("new")
+    spelled = {name.lower(): name for name in old.columns}
+    if key.lower() not in spelled:
+        raise ValueError(f"the old rows have no column {key!r}, only {old.columns}")
+    if len(spelled) < len(old.columns) or len({name.lower() for name in new.columns}) < len(new.columns):
+        raise ValueError(f"columns that differ by case only: {old.columns}, {new.columns}")
+    unknown = sorted(name for name in new.columns if name.lower() not in spelled)
+    if unknown:
+        raise ValueError(f"the old rows have no columns {unknown}, only {old.columns}")
+    if key.lower() not in {name.lower() for name in new.columns}:
+        raise ValueError(f"the new rows have no column {key!r}, only {new.columns}")
+    key = spelled[key.lower()]
+    renamed = new.toDF(*[spelled[name.lower()] for name in new.columns])
+    update = renamed.withColumn("is_new", F.lit(True)).alias("new")
     joined = old.alias("old").join(update, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
 
     def merged(name: str) -> Column:
         if name == key:
             value = F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}"))
-        elif name in new.columns:
+        elif name in renamed.columns:
             value = F.when(F.col("is_new"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}"))
         else:
             value = F.col(f"old.{name}")

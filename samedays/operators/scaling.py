@@ -56,9 +56,7 @@ def speedup(summary: DataFrame) -> DataFrame:
 
 def strong_efficiency(speedups: DataFrame) -> DataFrame:
     """Speedup over ideal speedup, the growth in workers."""
-    return speedups.withColumn("ideal_relative_speedup", _workers_ratio()).withColumn(
-        "efficiency", F.col("speedup") / F.col("ideal_relative_speedup")
-    )
+    return speedups.withColumn("efficiency", F.col("speedup") / _workers_ratio())
 
 
 def weak_efficiency(summary: DataFrame) -> DataFrame:

@@ -52,8 +52,6 @@ def execute_run(
     started = perf_counter()
     rows = planned.collect()
     elapsed = perf_counter() - started
-    print(f"==== {run.strategy} ====")
-    print(f"Result: {rows[0] if rows else None}")
     print(f"{ELAPSED_MARK} {elapsed:.3f} seconds", flush=True)
     report = None
     if report_dir and rows:

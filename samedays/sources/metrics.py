@@ -19,7 +19,7 @@ def typed_metrics(table: DataFrame) -> DataFrame:
     """Check and cast a timing table whose columns are text; blank and NaN times are missing."""
     missing = sorted({*KEYS, *METRICS} - set(table.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"a timing table needs {missing} besides its columns {table.columns}")
     times = [F.nullif(F.col(name).cast("double"), F.lit(float("nan"))).alias(name) for name in METRICS]
     return table.select(
         F.col("workers").cast("int").alias("workers"),

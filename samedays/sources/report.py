@@ -29,6 +29,7 @@ def write_report(
     top: DataFrame, path: str, solver: str, cluster: str, multiplier: int, elapsed: float
 ) -> None:
     """Six lines for the one solution in ``top``, as text under the directory ``path``."""
+    # The six labels.
     lines = F.array(
         F.lit(f"Solver:  {solver}"),
         F.lit(f"Cluster: {cluster}"),

@@ -12,12 +12,15 @@ from samedays.operators.observations import cell_spans, day_cells
 from samedays.operators.pairing import (
     ENUMERATORS,
     STRATEGIES,
+    _unit_rows,
+    coarse_blocks,
     enumerate_pairs,
     enumerate_span_pairs,
+    pair_days_by_date,
     pairing_partitions,
     split_groups,
 )
-from samedays.operators.pruning import frequent_cells, support_floor
+from samedays.operators.pruning import frequent_cells, seed_cells, support_floor
 from samedays.sources.report import solution_report
 
 PLACES = (13.4, 38.2, 15.1, 37.5)
@@ -91,7 +94,7 @@ def test_rank(obs_of):
 def test_pruning_drops_cells_but_keeps_the_answer(obs_of):
     rows = random_rows(11, days=28, places=400, rows=3000)
     cells = cell_spans(obs_of(rows))
-    floor = support_floor(cells, cells.repartition("cell"), 3).first()["floor"]
+    floor = support_floor(cells, 3).first()["floor"]
     best = brute_top(rows, 3)
     assert 1 < floor <= best[-1][4]
     kept = frequent_cells(cells, 3)
@@ -130,14 +133,33 @@ def test_a_hot_day_is_spread_over_units_and_tasks(spark):
     assert max(r["count"] for r in by_task) < 0.5 * 5000 * 4999 / 2
 
 
-def test_any_split_gives_the_same_pairs(spark, obs_of):
+@pytest.mark.parametrize("block, multiplier", [(1, None), (3, 1), (2048, 7), (2048, 50)])
+def test_any_split_gives_the_same_pairs(obs_of, block, multiplier):
     rows = random_rows(6, days=40, places=50, rows=600)
-    cells = cell_spans(obs_of(rows))
-    odd = spark.createDataFrame([("2024-01-??", 9), ("1999-01-??", 4)], "span string, blocks bigint")
-    pairs = enumerate_span_pairs(cells, odd)
+    pairs = enumerate_span_pairs(cell_spans(obs_of(rows)), block, multiplier)
     assert pairs.agg(F.sum(F.bit_count("days"))).first()[0] == pair_total(rows)
 
 
+def test_every_hot_group_is_cut(spark):
+    """More large groups than any fixed list would hold: all are cut, and no unit is above two blocks."""
+    groups, size, block = 3000, 40, 4
+    rows = spark.range(groups * size).selectExpr(f"concat('day', id % {groups}) AS date", f"id DIV {groups} AS cell")
+    split = split_groups(rows, "date", block)
+    assert split.count() == groups
+    units = _unit_rows(rows, "date", split, 8, 1).groupBy("date", "lo", "hi").count()
+    # blocks are cut by a hash, so their sizes scatter round `block`
+    assert units.agg(F.max("count")).first()[0] <= 2 * 3 * block
+    assert units.select("date").distinct().count() == groups
+
+
+def test_days_of_a_pair_meet_in_one_task(obs_of):
+    """Pairs of cut groups are counted where they are found: hardly any pair is in two tasks."""
+    rows = random_rows(12, days=200, places=60, rows=9000)
+    pairs = enumerate_span_pairs(cell_spans(obs_of(rows)), multiplier=2)
+    found = pairs.select("a", "b", F.spark_partition_id().alias("task")).distinct()
+    assert found.count() == found.select("a", "b").distinct().count()
+
+
 @pytest.mark.parametrize("share", [0.05, 0.9])
 def test_sparse_and_dense_spans(obs_of, share):
     """Months with few and with many days per cell take different routes to the same pairs."""
@@ -150,7 +172,7 @@ def test_sparse_and_dense_spans(obs_of, share):
         if rng.random() < (share if m == 1 else 0.3)
     ]
     cells = cell_spans(obs_of(rows))
-    pairs = enumerate_span_pairs(cells, split_groups(cells, "span", 7))
+    pairs = enumerate_span_pairs(cells, block=7)
     listed = pairs.select(*grid.pair_columns(), F.explode(spans.dates("span", "days")).alias("date"))
     expected = [(*pair, day) for pair, days in brute_stats(rows).items() for day in days]
     assert sorted(as_tuples(listed)) == sorted(expected)
@@ -197,6 +219,50 @@ def test_partitions(spark, obs_of):
     cores = spark.sparkContext.defaultParallelism
     assert pairing_partitions(df, 3) == cores * 3
     assert pairing_partitions(df) == 2 * cores
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        assert pairing_partitions(df) == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for partitions in (1, 8, 100, 8000):
+        blocks = coarse_blocks(partitions)
+        assert blocks * (blocks + 1) // 2 >= 2 * partitions or partitions == 1
+
+
+def test_many_best_pairs_prune_as_well(obs_of):
+    """With more best pairs than any former limit, cells are still pruned and the answer is exact."""
+    rng = random.Random(31)
+    rows = [(f"2024-01-{d:02d}", p / 10, 0.0) for p in range(170) for d in range(1, 11) if rng.random() < 0.95]
+    rows += [(f"2024-02-{1 + p % 28:02d}", 100 + p / 10, 1.0) for p in range(300)]
+    k = 10_500
+    assert seed_cells(k) * (seed_cells(k) - 1) // 2 >= k
+    cells = cell_spans(obs_of(rows))
+    assert frequent_cells(cells, k).count() < cells.count()
+    assert as_tuples(top_pairs(obs_of(rows), k)) == brute_top(rows, k)
+
+
+@pytest.mark.parametrize("min_days", [2, 4])
+def test_min_days(obs_of, min_days):
+    rows = random_rows(13, days=20, places=60, rows=700, hot_share=0.2)
+    expected = {pair: days for pair, days in brute_stats(rows).items() if len(days) >= min_days}
+    got = {tuple(r[:4]): r.times for r in pair_stats(obs_of(rows), block=6, min_days=min_days).collect()}
+    assert got == expected
+    listed = as_tuples(pair_days(obs_of(rows), min_days=min_days))
+    assert sorted(listed) == sorted((*pair, day) for pair, days in expected.items() for day in days)
+    with pytest.raises(ValueError, match="positive"):
+        pair_days(obs_of(rows), min_days=0)
+
+
+def test_pair_days_by_date(obs_of):
+    rows = random_rows(14, days=9, places=40, rows=300)
+    got = {r.date: tuple(r)[1:] for r in pair_days_by_date(obs_of(rows)).collect()}
+    expected: dict = {}
+    for pair, days in brute_stats(rows).items():
+        for day in days:
+            n, *sums = expected.get(day, (0, 0, 0, 0, 0))
+            expected[day] = (n + 1, *(s + round(x * 10) for s, x in zip(sums, pair, strict=True)))
+    assert got == expected
 
 
 class TestReplication:
@@ -225,6 +291,18 @@ class TestReplication:
         with pytest.raises(ValueError):
             replicate(obs_of([]), workers)
 
+    def test_a_place_that_leaves_the_grid_fails(self, obs_of):
+        rows = [("2024-01-01", 214_748_300.0, 2.0), ("2024-01-01", 5.0, 2.0)]
+        assert as_tuples(top_pairs(obs_of(rows)))[0][:4] == (5.0, 2.0, 214_748_300.0, 2.0)
+        for broken in (lambda: replicate(obs_of(rows), 4).collect(), lambda: top_pairs(replicate(obs_of(rows), 4)).collect()):
+            with pytest.raises(Exception, match="beyond the grid"):
+                broken()
+
+    @pytest.mark.parametrize("bad", [float("nan"), float("inf"), 214_748_365.0])
+    def test_hand_made_observations_are_checked(self, obs_of, bad):
+        with pytest.raises(Exception, match="no cell"):
+            top_pairs(obs_of([("2024-01-01", bad, 2.0), ("2024-01-01", 5.0, 2.0)])).collect()
+
     def test_top_support_is_kept(self, obs_of):
         rows = random_rows(21, days=15, places=30, rows=300)
         assert as_tuples(top_pairs(replicate(obs_of(rows), 6)))[0][:5] == brute_top(rows, 1)[0][:5]

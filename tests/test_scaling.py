@@ -190,6 +190,24 @@ def test_upsert_keeps_columns_the_new_rows_lack(spark):
         results_upsert(old, new.withColumnRenamed("time_p2x", "time_p9x"))
 
 
+def test_upsert_matches_columns_whatever_their_case(spark, tmp_path):
+    """The published result files are headed `Solver`, new rows `solver`."""
+    (tmp_path / "r.csv").write_text("Solver,time_p2x,time_p3x,time_p4x\nS1,1.000,2.000,3.000\nS2,4.000,,6.000\n")
+    old = read_results(spark, str(tmp_path / "r.csv"))
+    new = spark.createDataFrame([("S2", "7.000", "8.000", None), ("S3", None, "9.000", None)], RESULT)
+    merged = results_upsert(old, new)
+    assert merged.columns == ["Solver", "time_p2x", "time_p3x", "time_p4x"]
+    assert sorted(as_tuples(merged)) == [
+        ("S1", "1.000", "2.000", "3.000"),
+        ("S2", "7.000", "8.000", None),
+        ("S3", None, "9.000", None),
+    ]
+    with pytest.raises(ValueError, match="no column 'engine'"):
+        results_upsert(old, new, key="engine")
+    with pytest.raises(ValueError, match="new rows have no column 'time_p4x'"):
+        results_upsert(old, new.drop("time_p4x"), key="time_p4x")
+
+
 def test_result_time(spark):
     df = spark.createDataFrame([(1.0,), (12.3456,), (0.0,), (None,)], "t double")
     assert [r[0] for r in df.select(text.result_time(F.col("t"))).collect()] == ["1.000", "12.346", None, None]
@@ -220,6 +238,32 @@ def test_logs(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("folder", ["a b", "50%", "plus+", "h\u00e9llo", "a%20b"])
+def test_logs_in_folders_with_odd_names(spark, tmp_path, folder):
+    logs = tmp_path / folder
+    logs.mkdir()
+    (logs / "Solver1_p2x_20240301_101500.log").write_text("Elapsed time: 3.5 seconds\n")
+    (row,) = log_elapsed(spark, str(logs)).collect()
+    assert row.elapsed == 3.5
+    assert row.file.endswith(f"/{folder}/Solver1_p2x_20240301_101500.log")
+
+
+def test_logs_of_expected_runs(spark, tmp_path):
+    (tmp_path / "Solver1_p2x_20240301_101500.log").write_text("Elapsed time: 3.5 seconds\n")
+    (tmp_path / "Solver2_p3x_20240301_101501.log").write_text("")
+    (tmp_path / "Solver4_p2x_20240301_101504.log").write_text("Elapsed time:\n7.5 seconds\n")
+    runs = [("Solver1", 2, "20240301_101500"), ("Solver2", 3, "20240301_101501"), ("Solver3", 4, "20240301_101502")]
+    expected = spark.createDataFrame([*runs, runs[0]], "solver string, multiplier long, stamp string")
+    rows = log_elapsed(spark, str(tmp_path), expected).collect()
+    assert {tuple(r[1:]) for r in rows} == {
+        ("Solver1", 2, "20240301_101500", 3.5),
+        ("Solver2", 3, "20240301_101501", None),
+        ("Solver3", 4, "20240301_101502", None),
+        ("Solver4", 2, "20240301_101504", None),
+    }
+    assert len(rows) == 4
+
+
 def test_report_name():
     at = datetime(2024, 3, 1, 9, 5, 7)
     assert report_name("array", "c", 4, at) == "array_c_coeff4_20240301_090507.txt"
