@@ -4,16 +4,17 @@ A word here is a run without ASCII white space. The tokenizer's normaliser and s
 space and drop it, so the ids of a text are the ids of its words, one after the other. The vocabulary file is a
 parameter; each distinct word is encoded once, whatever its number of places.
 
-1. Words are split and counted in Spark (partial aggregation), encoded once each, and written as the word table.
-2. The `frequent` most frequent words of at most `frequent_chars` characters are broadcast: a bounded dictionary,
-   so hot words never meet in a shuffle.
-3. Texts with other words list them once per distinct text; these are joined with the word table and come back
-   by text. Texts are not shuffled: they travel as compressed word codes.
+1. The words of a bounded sample of documents (`SAMPLE`) are counted; the `frequent` most frequent of at most
+   `FREQUENT_CHARS` characters are encoded and broadcast. This part of the word table only saves work: hot words never
+   meet in a shuffle. Results are the same whatever it holds.
+2. All other words of all texts go, once per text, to the task that holds the word; there each distinct one is encoded
+   once, and its ids go back to the text by the word's place among the text's own.
+3. Texts are not shuffled: they travel as compressed codes of their words.
 4. Ids are put together by position, then decoded: piece = pieces[id], joined by a space, as the tokenizer's
    decode does without a decoder.
 
 Defined results: null and blank texts have no ids and decode to the empty text. Repeated rows, null and repeated ids
-give a row each: rows travel by a hash of the text, not by id. Texts of any length are taken whole.
+give a row each. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samedays.llm.common import Scratch, words
+from samedays.llm.common import words
 
-FREQUENT = 200_000
+FREQUENT = 400_000
 FREQUENT_CHARS = 64
+#: Documents from which the frequent words are taken.
+SAMPLE = 20_000
 #: Words that the tokenizer gets at once.
 ENCODE_BATCH = 5_000
 
@@ -61,18 +64,22 @@ def distinct_words(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def encode_words(counted: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids): ids as little-endian unsigned 32-bit integers."""
+def encode_words(distinct: DataFrame, path: str) -> DataFrame:
+    """(word, ids) for rows of distinct words: ids as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = _tokenizer(path)
         for batch in batches:
-            for begin in range(0, len(batch), ENCODE_BATCH):
-                part = batch.iloc[begin : begin + ENCODE_BATCH]
-                encoded = tokenizer.encode_batch_fast(part["word"].tolist(), add_special_tokens=False)
-                yield part.assign(ids=[np.asarray(e.ids, "<u4").tobytes() for e in encoded])
+            yield batch.assign(ids=_encoded(batch["word"].tolist(), path))
 
-    return counted.mapInPandas(run, "word string, n long, ids binary")
+    return distinct.select("word").mapInPandas(run, "word string, ids binary")
+
+
+def _encoded(found: list[str], path: str) -> list[bytes]:
+    tokenizer, out = _tokenizer(path), []
+    for begin in range(0, len(found), ENCODE_BATCH):
+        encoded = tokenizer.encode_batch_fast(found[begin : begin + ENCODE_BATCH], add_special_tokens=False)
+        out += [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
+    return out
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -88,15 +95,32 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") ->
     return rows.drop(to).mapInPandas(run, schema)
 
 
-def word_table(documents: DataFrame, path: str, text: str, scratch: Scratch) -> DataFrame:
-    """(word, n, ids, decoded) for every distinct word, written once."""
-    return scratch.keep(decode(encode_words(distinct_words(documents, text), path), path))
+def frequent_words(documents: DataFrame, path: str, text: str, most: int, sample: int = SAMPLE) -> list[tuple[str, bytes]]:
+    """(word, ids) of the most frequent words of a sample of the documents: at most `most` rows of bounded words."""
+    rows = documents.count()
+    chosen = documents if rows <= sample else documents.sample(fraction=sample / rows, seed=2)
+    counted = distinct_words(chosen, text).filter(F.length("word") <= FREQUENT_CHARS)
+    top = counted.orderBy(F.desc("n"), "word").limit(most)
+    return list(zip(*(column.to_pylist() for column in encode_words(top, path).toArrow().columns), strict=True))
+
 
+def encode_by_word(places: DataFrame, path: str) -> DataFrame:
+    """The rows of (word, ...) with ids in the word's stead; all places of a word meet, and it is encoded once."""
+    others = [f for f in places.schema if f.name != "word"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others) + ", ids binary"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: tuple[str, bytes] = ("", b"")
+        for batch in batches:
+            # rows come sorted by word; the last word of a batch may go on in the next
+            number, distinct = pd.factorize(batch["word"])
+            fresh = [w for w in distinct if w != last[0]]
+            ids = dict(zip(fresh, _encoded(fresh, path), strict=True)) | {last[0]: last[1]}
+            table = [ids[w] for w in distinct]
+            last = (distinct[-1], table[-1]) if len(distinct) else last
+            yield batch[[f.name for f in others]].assign(ids=[table[n] for n in number])
 
-def _frequent(table: DataFrame, most: int) -> list[tuple[str, bytes, str]]:
-    short = table.filter(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("n"), "word").limit(most)
-    rows = short.select("word", "ids", "decoded").toArrow()
-    return list(zip(*(column.to_pylist() for column in rows.columns), strict=True))
+    return places.repartition("word").sortWithinPartitions("word").mapInPandas(run, schema)
 
 
 def encode(
@@ -109,27 +133,30 @@ def encode(
 ) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) for every document; with `digests`, sha256 of the ids and of the text instead."""
     spark = documents.sparkSession
-    scratch = Scratch(spark, "bpe")
     source = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    table = word_table(source, path, "text", scratch)
-    known = spark.sparkContext.broadcast(_frequent(table, frequent))
+    known = spark.sparkContext.broadcast(frequent_words(source, path, "text", frequent))
+    pieces = spark.sparkContext.broadcast(pieces_of(path))
     id_type = source.schema["doc_id"].dataType.simpleString()
-    keyed = source.withColumn("key", F.unhex(F.md5("text")))
+    # 96 bits of hashes of id and text; rows that share them are the same text, and no part is null
+    keyed = source.withColumns({"key": F.xxhash64("doc_id", "text"), "check": F.hash("text")})
+    key = ["key", "check"]
 
     def code_table() -> dict[bytes, int]:
-        return {word.encode(): i for i, (word, _, _) in enumerate(known.value)}
+        return {word.encode(): i for i, (word, _) in enumerate(known.value)}
 
     def rare_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = code_table()
         for batch in batches:
-            fresh = batch.drop_duplicates("key")
-            rare = [list({w: None for w in t.encode().split() if w not in codes}) for t in fresh["text"]]
-            found = [(k, i, w.decode()) for k, words_left in zip(fresh["key"], rare, strict=True) for i, w in enumerate(words_left)]
-            yield pd.DataFrame(found, columns=["key", "place", "word"])
+            rare = [list({w: None for w in t.encode().split() if w not in codes}) for t in batch["text"]]
+            many = [len(r) for r in rare]
+            at = np.repeat(np.arange(len(batch)), many)
+            found = batch[key].iloc[at].reset_index(drop=True)
+            place = np.concatenate([np.arange(n) for n in many] or [np.zeros(0, int)])
+            yield found.assign(place=place, word=pd.Series([w.decode() for r in rare for w in r], dtype=object))
 
     def skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = code_table()
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             packed = []
             for t in batch["text"]:
@@ -139,37 +166,38 @@ def encode(
                 numbers = [codes[w] if w in codes else rare[w] if w in rare else rare.setdefault(w, next(local)) for w in found]
                 # bytes of the same weight next to each other, which compresses the codes
                 packed.append(packer.compress(np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "codes": packed})
+            yield batch[["doc_id", *key]].assign(codes=packed)
 
-    # a word of a text once per distinct text, in the order of its first place, as `skeletons` numbers them
-    rare = keyed.select("key", "text").mapInPandas(rare_words, "key binary, place int, word string").distinct()
-    found = rare.join(table.select("word", "ids", "decoded"), "word")
-    by_text = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "ids", "decoded"))).alias("rare"))
-    by_text = by_text.select("key", F.col("rare.ids").alias("rare_ids"), F.col("rare.decoded").alias("rare_decoded"))
-    bones = keyed.mapInPandas(skeletons, f"doc_id {id_type}, key binary, codes binary")
-    joined = bones.join(by_text, "key", "left").drop("key")
+    # a word of a text once, numbered by its first place there, as `skeletons` numbers them
+    places = keyed.mapInPandas(rare_words, "`key` long, `check` int, place int, word string")
+    by_text = encode_by_word(places, path).groupBy(*key).agg(F.collect_list("place").alias("places"), F.collect_list("ids").alias("rare"))
+    bones = keyed.mapInPandas(skeletons, f"doc_id {id_type}, `key` long, `check` int, codes binary")
+    joined = bones.join(by_text, key, "left").select("doc_id", "codes", "places", "rare")
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = [ids for _, ids, _ in known.value]
-        text_of = [decoded for _, _, decoded in known.value]
-        base = len(ids_of)
+        table = np.array(pieces.value, dtype=object)
+
+        def text_of(ids: bytes) -> str:
+            return " ".join(table[np.frombuffer(ids, "<u4")])
+
+        ids_known = [ids for _, ids in known.value]
+        text_known = [text_of(ids) for ids in ids_known]
+        base = len(ids_known)
         unpacker = zstandard.ZstdDecompressor()
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
         for batch in batches:
             rows = []
-            for packed, rare_ids, rare_text in zip(batch["codes"], batch["rare_ids"], batch["rare_decoded"], strict=True):
+            for packed, places, rare in zip(batch["codes"], batch["places"], batch["rare"], strict=True):
                 planes = np.frombuffer(unpacker.decompress(packed), np.uint8).reshape(4, -1)
                 numbers = np.ascontiguousarray(planes.T).view("<u4").ravel().tolist()
-                if rare_ids is not None:
-                    ids = b"".join([ids_of[c] if c < base else rare_ids[c - base] for c in numbers])
-                    decoded = " ".join([text_of[c] if c < base else rare_text[c - base] for c in numbers])
-                else:
-                    ids = b"".join([ids_of[c] for c in numbers])
-                    decoded = " ".join([text_of[c] for c in numbers])
+                own = {} if rare is None else dict(zip((base + places).tolist(), rare, strict=True))
+                ids = b"".join([ids_known[c] if c < base else own[c] for c in numbers])
+                texts = {c: text_of(found) for c, found in own.items()}
+                decoded = " ".join([text_known[c] if c < base else texts[c] for c in numbers])
                 if digests:
                     rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
                 else:
                     rows.append((len(ids) // 4, ids, decoded))
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
             yield pd.concat([batch[["doc_id"]], pd.DataFrame(rows, columns=names, index=batch.index)], axis=1)
 
     if digests:

@@ -3,12 +3,12 @@
 The benchmark is the stated query set. It is taken in blocks of `BLOCK_WORDS` words, so a block's words, vectors and
 texts, which every task holds, have a fixed bound whatever the benchmark's size.
 
-1. Document frequencies of a block's words are counted over all documents. Words in more than `MAX_SHARE` of the
-   documents carry no weight.
-2. Passages of `PASSAGE` words, every `STRIDE` words, become normalised TF-IDF rows over the block's words. A
-   randomised SVD is run over all passages and the benchmark's own: each task adds up its part of A'(A Q), the parts
+1. Document frequencies of a block's words are counted over all documents. Words in up to `MAX_SHARE` of the
+   documents carry weight, and the `RAREST` rarest words of each item, however frequent they are.
+2. Every document is cut into passages of `PASSAGE` words, which become normalised TF-IDF rows over the weighted words.
+   A randomised SVD is run over all of them and the benchmark's own: each task adds up its part of A'(A Q), the parts
    are added by key, and the driver orthogonalises a matrix of (block's words) x `RANK`.
-3. Each passage is projected and compared with the block's projected passages; pairs at `COSINE` or more are
+3. Each passage, now one every `STRIDE` words so that they overlap, is projected and compared with the block's projected passages; pairs at `COSINE` or more are
    candidates. All passages of all documents are compared; nothing is sampled and no list is cut.
 4. A candidate is checked on words: the longest common subsequence of the item and the text around the passage,
    as a share of the item. `COPIED` or more is contamination. From `PARAPHRASED` on, the item's answer (column
@@ -31,7 +31,7 @@ from samedays.llm.common import Scratch, document_frequencies, plain_words
 
 PASSAGE, STRIDE = 48, 16
 RANK, OVERSAMPLED, ROUNDS = 96, 16, 2
-MAX_SHARE = 0.2
+MAX_SHARE, RAREST = 0.02, 6
 COSINE = 0.45
 COPIED, PARAPHRASED = 0.75, 0.5
 ANSWER = 5
@@ -74,20 +74,17 @@ class Item:
         return share, answered, share >= COPIED or (share >= PARAPHRASED and answered)
 
 
-def _passage_hits(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, place in numbers) for the weighted words of each passage; a word is in several passages."""
+def _passage_hits(numbers: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, place in numbers) for the weighted words of each passage; a word may be in several passages."""
     at = np.flatnonzero(numbers >= 0)
-    last = max(len(numbers) - PASSAGE, 0)
-    many = -(-last // STRIDE)
+    many = -(-max(len(numbers) - PASSAGE, 0) // stride)  # number of the last passage, which reaches the end
     passage, place = [], []
-    for back in range(-(-PASSAGE // STRIDE)):
-        p = at // STRIDE - back
-        inside = (p >= 0) & (p <= many) & (at - p * STRIDE < PASSAGE)
+    for back in range(-(-PASSAGE // stride)):
+        p = at // stride - back
+        inside = (p >= 0) & (p <= many) & (at - p * stride < PASSAGE)
         passage.append(p[inside])
         place.append(at[inside])
-    # words past the last full stride belong to the last passage
-    late = at[at >= many * STRIDE + PASSAGE]
-    return np.concatenate([*passage, np.full(len(late), many)]), np.concatenate([*place, late])
+    return np.concatenate(passage), np.concatenate(place)
 
 
 class Rows:
@@ -126,11 +123,11 @@ class Rows:
         return out
 
 
-def _rows_of(numbers: list[np.ndarray], idf: np.ndarray) -> Rows | None:
+def _rows_of(numbers: list[np.ndarray], idf: np.ndarray, stride: int = STRIDE) -> Rows | None:
     """The rows of several texts, labelled text * 2^TEXT_SHIFT + passage; passages with few weighted words are left out."""
     rows, found = [], []
     for i, n in enumerate(numbers):
-        passage, place = _passage_hits(n)
+        passage, place = _passage_hits(n, stride)
         rows.append(passage + (i << TEXT_SHIFT))
         found.append(n[place])
     row, word = np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(found or [np.zeros(0, np.int64)])
@@ -154,6 +151,16 @@ class Block:
         self.number = {word: i for i, word in enumerate(sorted({w for item in items for w in item.words}))}
         self.idf = np.ones(len(self.number))
 
+    def weigh(self, counted: dict[int, int]) -> None:
+        """Weights from document frequencies: number of a word -> documents, -1 -> all documents."""
+        total = counted.get(-1, 0)
+        n = np.array([counted.get(i, 0) for i in range(len(self.number))])
+        rare = n <= MAX_SHARE * total
+        for item in self.items:
+            own = np.array([self.number[w] for w in dict.fromkeys(item.words)])
+            rare[own[np.argsort(n[own], kind="stable")[:RAREST]]] = True
+        self.idf = np.where(rare, np.log((1 + total) / (1 + n)) + 1, 0.0)
+
     def numbers(self, found: list[bytes]) -> np.ndarray:
         get = self.number.get
         return np.fromiter((get(w, -1) for w in found), np.int64, len(found))
@@ -204,7 +211,7 @@ def _gram_times(hits: DataFrame, block: Block, basis: np.ndarray) -> np.ndarray:
                     n = np.full(length, -1, np.int64)
                     n[np.frombuffer(places, "<i4")] = np.frombuffer(found, "<i4")
                     numbers.append(n)
-                rows = _rows_of(numbers, idf)
+                rows = _rows_of(numbers, idf, PASSAGE)
                 if rows is not None:
                     total += rows.transposed_times(rows.times(matrix), len(idf))
         parts = [(i, total[i : i + MATRIX_ROWS].tobytes()) for i in range(0, len(total), MATRIX_ROWS)]
@@ -339,10 +346,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     scratch = Scratch(spark, "decontaminate")
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark):
-        counted = {row.word: row.n for row in document_frequencies(texts, block.number).collect()}
-        total = counted.get(-1, 0)
-        share = np.array([counted.get(i, 0) for i in range(len(block.number))]) / max(total, 1)
-        block.idf = np.where(share <= MAX_SHARE, np.log((1 + total) / (1 + share * total)) + 1, 0.0)
+        block.weigh({row.word: row.n for row in document_frequencies(texts, block.number).collect()})
         own = _rows_of([block.weighted(item.words) for item in block.items], block.idf)
         hits = scratch.keep(_hits(texts.select("text"), block))
         vectors, _ = randomised_svd(hits, block, own)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samedays.llm import bpe, decontaminate, licenses, pages, pii, quality, secrets, simhash, substrings, urls
+from samedays.llm import bpe, decontaminate, licenses, oracle, pages, pii, quality, secrets, simhash, substrings, urls
 from samedays.llm.common import read_table
 
 
@@ -86,4 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others hash, learn or parse beyond SQL; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op8_quality_ledger": oracle.QUALITY,
+    "op9_url_reputation": oracle.REPUTATION,
+}

@@ -8,26 +8,29 @@ the same document before. Windows are judged on the input.
 2. Segments. Windows whose anchor occurs once cannot repeat. The windows around each repeated anchor form a segment
    of 20 to 34 words, keyed by the anchor. Where an anchor occurs more than `HOT` times each window is a segment of
    its own, keyed by its own hash, so that a common run of words does not gather all its contexts in one task.
-3. Reference shards. The segments of a key are its shard. Equal segments are first reduced to their earliest place
-   by a partial aggregate; the distinct ones stream in order of place through a suffix automaton of those before,
-   and words whose matching statistic reaches the window's length end a repeated window. Sending the automaton's
-   shard to the texts that need it, by key, takes the place of broadcasting every shard to every text, which would
-   be quadratic in the corpus.
-4. Spans come back by row and are cut out of the text.
-
-Words are compared as words; hashes only route. Texts are shuffled once: all later readers reuse that exchange.
-
-Defined results: null texts have no words. Rows with the same id count as the same document: an equal start is not
-earlier, and each row is cut by itself. Null ids come after all others, as one document. Texts under `WINDOW` words
-stay whole.
+3. Reference shards. The segments of a key are its shard, `HOT` at most; equal ones of a batch are sent once, as their
+   earliest place. They stream in order of place through a suffix automaton of the different ones before, and words
+   whose matching statistic reaches the window's length end a repeated window. Sending the automaton's shard to the
+   texts that need it, by key, takes the place of broadcasting every shard to every text, which would be quadratic in
+   the corpus.
+4. What comes back to a text are the segments that are the first of their kind, with the spans found in them. All its
+   other repeated segments occur earlier as a whole. The spans are cut out of the text.
+
+Words are compared as words; hashes only route. Texts are shuffled once, compressed; both readers share that exchange.
+
+Defined results: null texts have no words. Rows with the same id are in the order of a hash of id and text; rows with
+the same id and text are the same document, so none of them is earlier and each is cut alike. Null ids come after all
+others. Texts under `WINDOW` words stay whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,8 @@ WINDOW = 20
 ANCHOR = 6
 #: Occurrences of an anchor beyond which its windows are keyed one by one.
 HOT = 1000
+#: Stands for a null id, which comes after all others.
+NO_ID = (1 << 63) - 1
 #: Bytes of text that are hashed at once (a longer text is hashed by itself, whole).
 CHUNK = 1 << 20
 
@@ -78,6 +83,7 @@ class Hashed:
         self.text_of = np.searchsorted(edges, starts, side="right")
         self.first = np.searchsorted(self.text_of, np.arange(len(texts)))
         self.word = word
+        self.whole = self._run(WINDOW)
         self._anchor()
 
     def _run(self, length: int) -> np.ndarray:
@@ -127,44 +133,74 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield found.groupby(["anchor", "row"], sort=False).size().rename("n").reset_index()
 
 
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield batch[["row", "doc_id"]].assign(packed=[packer.compress(t.encode()) for t in batch["text"]])
+
+
+def _unpacked(packed: list[bytes]) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(p) for p in packed]
+
+
+class Segment(NamedTuple):
+    """Words start to stop of a text, routed by key."""
+
+    key: int
+    start: int
+    stop: int
+
+
+def segments_of(hashed: Hashed, i: int, windows: slice, anchors, hot) -> list[Segment]:
+    """The segments of a text: runs of windows around each repeated anchor."""
+    first, at = hashed.window[windows], hashed.anchor[windows]
+    if not len(first) or anchors is None or not len(anchors):
+        return []
+    known = np.asarray(anchors, np.int64)
+    order = np.argsort(known)
+    known, is_hot = known[order], np.asarray(hot, bool)[order]
+    mine = hashed.grams[at].view(np.int64)
+    found = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+    repeated = known[found] == mine
+    keep = np.flatnonzero(repeated)
+    if not len(keep):
+        return []
+    alone = is_hot[found[keep]]
+    # a segment ends where the anchor's place changes, or with each window of a hot anchor
+    new = np.ones(len(keep), bool)
+    new[1:] = (at[keep][1:] != at[keep][:-1]) | alone[1:]
+    begins = np.flatnonzero(new)
+    begin, end = keep[begins], keep[np.append(begins[1:] - 1, len(keep) - 1)]
+    keys = np.where(alone[begins], hashed.whole[first[begin]].view(np.int64), mine[begin])
+    base = hashed.first[i]
+    return list(map(Segment, keys.tolist(), (first[begin] - base).tolist(), (first[end] - base + WINDOW).tolist()))
+
+
+def _each(batch: pd.DataFrame) -> Iterator[tuple[int, bytes, list[Segment]]]:
+    """(row of the batch, text, segments) for every text."""
+    texts = _unpacked(batch["packed"])
+    for begin, end in _chunks(texts):
+        hashed = Hashed(texts[begin:end])
+        bounds = np.searchsorted(hashed.text_of[hashed.window], np.arange(end - begin + 1)).tolist()
+        for i in range(end - begin):
+            anchors, hot = batch["anchors"].iloc[begin + i], batch["hot"].iloc[begin + i]
+            yield begin + i, texts[begin + i], segments_of(hashed, i, slice(bounds[i], bounds[i + 1]), anchors, hot)
+
+
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, row, doc_id, start, words): the segments around the repeated anchors of each text."""
+    """(key, doc_id, row, start, words): the segments of a batch, of equal ones the earliest."""
     for batch in batches:
-        texts = [t.encode() for t in batch["text"]]
-        for begin, end in _chunks(texts):
-            hashed = Hashed(texts[begin:end])
-            part = batch.iloc[begin:end]
-            whole = hashed._run(WINDOW)
-            out = []
-            bounds = np.searchsorted(hashed.text_of[hashed.window], np.arange(end - begin + 1))
-            for i, (text, row, doc_id, anchors, hot) in enumerate(
-                zip(texts[begin:end], part["row"], part["doc_id"], part["anchors"], part["hot"], strict=True)
-            ):
-                windows, at = hashed.window[bounds[i] : bounds[i + 1]], hashed.anchor[bounds[i] : bounds[i + 1]]
-                if not len(windows) or anchors is None:
-                    continue
-                known = np.asarray(anchors, np.int64)
-                order = np.argsort(known)
-                known, is_hot = known[order], np.asarray(hot, bool)[order]
-                mine = hashed.grams[at].view(np.int64)
-                found = np.minimum(np.searchsorted(known, mine), len(known) - 1)
-                repeated = known[found] == mine
-                alone = repeated & is_hot[found]
-                # a segment ends where the anchor's place changes, or with each window of a hot anchor
-                keep = np.flatnonzero(repeated)
-                if not len(keep):
-                    continue
-                new = np.ones(len(keep), bool)
-                new[1:] = (at[keep][1:] != at[keep][:-1]) | alone[keep][1:]
-                firsts = keep[new]
-                lasts = keep[np.append(np.flatnonzero(new)[1:] - 1, len(keep) - 1)]
-                split = text.split()
-                base = hashed.first[i]
-                for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
-                    start, stop = int(windows[a] - base), int(windows[b] - base) + WINDOW
-                    key = int(whole[windows[a]].view(np.int64)) if alone[a] else int(mine[a])
-                    out.append((key, row, doc_id, start, stop - start, b" ".join(split[start:stop]).decode()))
-            yield pd.DataFrame(out, columns=["key", "row", "doc_id", "start", "length", "words"])
+        rows, ids = batch["row"].tolist(), batch["doc_id"].tolist()
+        places: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        for n, text, segments in _each(batch):
+            split = text.split() if segments else []
+            for key, start, stop in segments:
+                place, held = (ids[n], rows[n], start), (key, b" ".join(split[start:stop]))
+                if place < places.get(held, (NO_ID + 1,)):
+                    places[held] = place
+        out = [(key, *place, words.decode()) for (key, words), place in places.items()]
+        yield pd.DataFrame(out, columns=["key", "doc_id", "row", "start", "words"])
 
 
 class SuffixAutomaton:
@@ -233,43 +269,48 @@ def spans_of(statistics: list[int], window: int = WINDOW) -> list[int]:
 
 
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, segment, doc_id, start, spans) for distinct segments sorted by key and earliest place."""
-    key, automaton, held = None, None, ""
+    """(doc_id, row, start, spans) for the first of each kind of segment, sorted by key and place."""
+    key, automaton, seen = None, None, set()
     for batch in batches:
-        spans = []
-        for k, text in zip(batch["key"], batch["words"], strict=True):
+        out = []
+        for k, doc_id, row, start, words in batch[["key", "doc_id", "row", "start", "words"]].itertuples(index=False, name=None):
             if k != key:
-                # the automaton is only made if the shard has a second segment
-                key, automaton, held = k, None, text
-                spans.append([])
+                key, automaton, seen = k, None, {words}
+                out.append((doc_id, row, start, []))
+                continue
+            if words in seen:
                 continue
-            if automaton is None:
+            if automaton is None:  # only made if the shard has a second kind of segment
                 automaton = SuffixAutomaton()
-                automaton.add(held.encode().split())
-            found = text.encode().split()
-            spans.append(spans_of(automaton.statistics(found)))
+                automaton.add(next(iter(seen)).encode().split())
+            seen.add(words)
+            found = words.encode().split()
+            out.append((doc_id, row, start, spans_of(automaton.statistics(found))))
             automaton.add(found)
-        yield batch[["key", "segment", "doc_id", "start"]].assign(spans=spans)
+        yield pd.DataFrame(out, columns=["doc_id", "row", "start", "spans"])
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc_id, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
-            split = text.encode().split()
+        for n, text, segments in _each(batch):
+            split = text.split()
+            doc_id, firsts = batch["doc_id"].iloc[n], batch["firsts"].iloc[n]
+            own = {} if firsts is None else {f["start"]: f["spans"] for f in firsts if f["doc_id"] == doc_id}
             removed = np.zeros(len(split) + 1, np.int64)
-            for span in [] if spans is None else spans:
-                if span["doc_id"] == doc_id:
-                    removed[span["start"]] += 1
-                    removed[span["start"] + span["length"]] -= 1
+            for _, start, stop in segments:
+                inner = own.get(start)
+                if inner is None:  # not the first of its kind
+                    removed[start] += 1
+                    removed[stop] -= 1
+                    continue
+                for offset, length in zip(inner[::2], inner[1::2], strict=True):
+                    removed[start + offset] += 1
+                    removed[start + offset + length] -= 1
             gone = np.cumsum(removed[:-1]) > 0
             kept = b" ".join([w for w, g in zip(split, gone.tolist(), strict=True) if not g]).decode()
-            out.append((len(split), int(gone.sum()), kept))
-        yield pd.concat([batch[["doc_id"]], pd.DataFrame(out, columns=["n_words", "n_removed", "kept"], index=batch.index)], axis=1)
-
-
-#: Stands for a null id, which comes after all others.
-NO_ID = (1 << 63) - 1
+            out.append((doc_id, len(split), int(gone.sum()), kept))
+        yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,35 +319,20 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     ).withColumn("row", F.xxhash64("doc_id", "text"))
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = source.select("row", "doc_id", "text").repartition(partitions, "row")
+    packed = source.mapInPandas(_packed, "row long, doc_id long, packed binary")
+    texts = packed.repartition(partitions, "row")
 
-    anchors = source.select("row", "text").mapInPandas(_anchors, "anchor long, row long, n long")
+    anchors = source.select("row", "text").mapInPandas(_anchors, "anchor long, row long, n int")
     repeated = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).alias("hot"))
     marked = anchors.select("anchor", "row").join(repeated, "anchor")
     by_row = marked.groupBy("row").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot"))
 
-    schema = "key long, row long, doc_id long, start int, length int, words string"
-    segments = texts.join(by_row, "row").select("row", "doc_id", "text", "anchors", "hot").mapInPandas(_segments, schema)
-    segments = segments.withColumn("segment", F.unhex(F.md5("words")))
-    distinct = (
-        segments.groupBy("key", "segment")
-        .agg(F.min(F.struct("doc_id", "start")).alias("place"), F.first("words").alias("words"))
-        .select("key", "segment", "place.doc_id", "place.start", "words")
-    )
-    ordered = distinct.repartition("key").sortWithinPartitions("key", "doc_id", "start")
-    judged = ordered.mapInPandas(_judge, "key long, segment binary, doc_id long, start int, spans array<int>")
-
-    first = judged.select("key", "segment", F.struct("doc_id", "start").alias("place"), F.col("spans").alias("inner"))
-    places = segments.select("key", "segment", "row", "doc_id", "start", "length").join(first, ["key", "segment"])
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("inner") - 2, F.lit(2)),
-        lambda i: F.struct((F.col("start") + F.get("inner", i)).alias("start"), F.get("inner", i + 1).alias("length")),
-    )
-    own = F.when(F.size("inner") > 0, pairs).otherwise(F.array().cast("array<struct<start:int,length:int>>"))
-    later = F.array(F.struct("start", "length"))
-    spans = F.when(F.col("place") == F.struct("doc_id", "start"), own).otherwise(later)
-    cut = places.select("row", "doc_id", F.inline(spans)).groupBy("row")
-    by_text = cut.agg(F.collect_list(F.struct("doc_id", "start", "length")).alias("spans"))
-    whole = texts.join(by_text, "row", "left").select("doc_id", "text", "spans")
+    schema = "key long, doc_id long, row long, start int, words string"
+    segments = texts.join(by_row, "row").select("row", "doc_id", "packed", "anchors", "hot").mapInPandas(_segments, schema)
+    ordered = segments.repartition("key").sortWithinPartitions("key", "doc_id", "row", "start")
+    judged = ordered.mapInPandas(_judge, "doc_id long, row long, start int, spans array<int>")
+    firsts = judged.groupBy("row").agg(F.collect_list(F.struct("doc_id", "start", "spans")).alias("firsts"))
+
+    whole = texts.join(by_row, "row", "left").join(firsts, "row", "left").select("row", "doc_id", "packed", "anchors", "hot", "firsts")
     kept = whole.mapInPandas(_cut, "doc_id long, n_words long, n_removed long, kept string")
     return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

@@ -146,31 +146,30 @@ def test_simhash_links_of_random_fingerprints():
     assert [linked.get(x, x) for x in fps.tolist()] == found
 
 
-def brute_removed(rows: list, window: int = 20) -> Counter:
-    key = {None: 1 << 63}
-    order = sorted(range(len(rows)), key=lambda i: key.get(rows[i][0], rows[i][0]))
-    split = [WORD.findall(t or "") for _, t in rows]
+def brute_removed(documents, window: int = 20) -> Counter:
+    """Rows of one id are in the order of a hash of id and text; equal rows are the same document."""
+    known = F.coalesce("doc_id", F.lit(substrings.NO_ID))
+    hashed = documents.select("doc_id", "text", known.alias("at"), F.xxhash64(known, F.coalesce("text", F.lit(""))).alias("row")).collect()
+    split = [WORD.findall(r.text or "") for r in hashed]
     first: dict[tuple, tuple] = {}
-    for i in order:
-        for p in range(len(split[i]) - window + 1):
-            place = (key.get(rows[i][0], rows[i][0]), p)
-            run = tuple(split[i][p : p + window])
+    for r, found in zip(hashed, split, strict=True):
+        for p in range(len(found) - window + 1):
+            run, place = tuple(found[p : p + window]), (r.at, r.row, p)
             first[run] = min(first.get(run, place), place)
     out = Counter()
-    for i, (doc_id, _) in enumerate(rows):
+    for r, found in zip(hashed, split, strict=True):
         gone = set()
-        for p in range(len(split[i]) - window + 1):
-            if first[tuple(split[i][p : p + window])] < (key.get(doc_id, doc_id), p):
+        for p in range(len(found) - window + 1):
+            if first[tuple(found[p : p + window])] < (r.at, r.row, p):
                 gone.update(range(p, p + window))
-        kept = " ".join(w for p, w in enumerate(split[i]) if p not in gone)
-        out[doc_id, len(split[i]), len(gone), kept] += 1
+        out[r.doc_id, len(found), len(gone), " ".join(w for p, w in enumerate(found) if p not in gone)] += 1
     return out
 
 
 @pytest.mark.parametrize("hot", [1000, 1])
-def test_substrings(documents, rows, nothing, monkeypatch, hot):
+def test_substrings(documents, nothing, monkeypatch, hot):
     monkeypatch.setattr(substrings, "HOT", hot)
-    assert bag(substrings.remove_repeats(documents)) == brute_removed(rows)
+    assert bag(substrings.remove_repeats(documents)) == brute_removed(documents)
     assert substrings.remove_repeats(nothing).count() == 0
 
 
@@ -178,7 +177,8 @@ def test_substrings_few_words(spark):
     """Texts over three words, so that windows, anchors and contexts repeat in every way."""
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice("xy") + ("z" if rng.random() < 0.02 else "") for _ in range(rng.randint(15, 300)))) for i in range(25)]
-    assert bag(substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_removed(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bag(substrings.remove_repeats(frame)) == brute_removed(frame)
 
 
 def test_suffix_automaton_statistics():
