@@ -31,6 +31,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def made_once(frame: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with more columns, each made once per row.
+
+    A later filter on a plain column is moved below its projection and makes the column again, once for every
+    reference in the chain. It does not pass a generator, so the columns come from a generator of one row.
+    """
+    return frame.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; only where that is unset, a temporary one (tests)."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

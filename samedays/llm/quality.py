@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samedays.llm.common import UPPER, WHITE, words
+from samedays.llm.common import UPPER, WHITE, made_once, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -52,21 +52,19 @@ def _with_repeat_words(rows: DataFrame) -> DataFrame:
     """
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    rows = rows.withColumn(
-        "_placed",
-        F.when(repeats, F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(none),
-    )
+    placed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = made_once(rows, _placed=F.when(repeats, placed).otherwise(none))
     pairs = F.zip_with(
         F.col("_placed"),
         F.slice("_placed", 2, F.greatest(F.size("_placed"), F.lit(1))),
         lambda a, b: F.when(a.h == b.h, F.array(a.i, b.i)),
     )
-    rows = rows.withColumn("_places", F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull())))))
+    rows = made_once(rows, _places=F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull())))))
     steps = F.zip_with(
         F.col("_places"), F.slice("_places", 2, F.greatest(F.size("_places"), F.lit(1))), lambda a, b: F.least(b - a, F.lit(WINDOW))
     )
     covered = F.aggregate(steps, F.lit(0), lambda total, step: total + F.coalesce(step, F.lit(WINDOW)))
-    return rows.withColumn("n_repeat_words", covered.cast("long")).drop("_placed", "_places")
+    return made_once(rows, n_repeat_words=covered.cast("long")).drop("_placed", "_places")
 
 
 def ledger(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -74,32 +72,19 @@ def ledger(documents: DataFrame, text: str = "text") -> DataFrame:
     source = F.coalesce(F.col(text), F.lit(""))
     bare = F.translate(source, WHITE, "")
     lines = F.filter(F.split(source, "\n"), lambda line: F.translate(line, WHITE, "") != "")
-    measured = documents.withColumns({"_words": words(F.col(text)), "_lines": lines})
-    measured = measured.withColumns(
-        {
-            "_hashes": F.when(
-                F.size("_words") >= WINDOW,
-                F.zip_with(
-                    F.zip_with(
-                        F.slice("_words", 1, F.size("_words") - 2),
-                        F.slice("_words", 2, F.size("_words") - 2),
-                        lambda a, b: F.xxhash64(a, b),
-                    ),
-                    F.slice("_words", 3, F.size("_words") - 2),
-                    lambda pair, c: F.xxhash64(pair, c),
-                ),
-            ).otherwise(F.array().cast("array<bigint>")),
-        }
-    )
-    measured = measured.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(bare).cast("long"),
-            "n_symbols": (F.length(source) - F.length(F.translate(source, SYMBOLS, ""))).cast("long"),
-            "n_upper": (F.length(source) - F.length(F.translate(source, UPPER, ""))).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        }
+    measured = made_once(documents.drop(*MEASURES, "failed"), _words=words(F.col(text)), _lines=lines)
+    shorter = F.size("_words") - (WINDOW - 1)
+    firsts = F.zip_with(F.slice("_words", 1, shorter), F.slice("_words", 2, shorter), lambda a, b: F.xxhash64(a, b))
+    windows = F.zip_with(firsts, F.slice("_words", 3, shorter), lambda pair, c: F.xxhash64(pair, c))
+    measured = made_once(
+        measured,
+        _hashes=F.when(shorter > 0, windows).otherwise(F.array().cast("array<bigint>")),
+        n_words=F.size("_words").cast("long"),
+        word_chars=F.length(bare).cast("long"),
+        n_symbols=(F.length(source) - F.length(F.translate(source, SYMBOLS, ""))).cast("long"),
+        n_upper=(F.length(source) - F.length(F.translate(source, UPPER, ""))).cast("long"),
+        n_lines=F.size("_lines").cast("long"),
+        n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
     )
     measured = _with_repeat_words(measured).drop("_words", "_lines", "_hashes")
     checks = {
