@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from samedays.llm.common import Scratch, words
+from samedays.llm.common import Scratch, made_once, words
 
 #: Characters of keys and tokens; at least 16 with a digit among them, up to two signs of padding.
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}+={0,2}"
@@ -164,13 +164,16 @@ def _has(text: Column, names: tuple[str, ...]) -> Column:
 
 def with_features(found: DataFrame, statistics: tuple[list[float], list[int]]) -> DataFrame:
     """The findings with one column per feature."""
-    logs, marks = (F.array(*[F.lit(v) for v in values]) for values in statistics)
+    # one literal each, which the optimizer folds into an array: an expression per entry would slow every plan
+    logs, marks = (
+        F.split(F.lit(" ".join(map(repr, values))), " ").cast(f"array<{kind}>") for values, kind in zip(statistics, ("double", "int"), strict=True)
+    )
     # a word's codes are made once, as an array column; pairs and triples are neighbours in it
     value, size = F.col("value"), F.length("value")
-    coded = found.withColumn("_codes", F.transform(F.split(F.lower("value"), ""), _code))
+    coded = made_once(found, _codes=F.transform(F.split(F.lower("value"), ""), _code))
     second, third = F.slice("_codes", 2, F.greatest(F.size("_codes"), F.lit(1))), F.slice("_codes", 3, F.greatest(F.size("_codes"), F.lit(1)))
-    coded = coded.withColumn("_pairs", F.zip_with("_codes", second, lambda a, b: a * 27 + b))
-    coded = coded.withColumn("_triples", F.zip_with("_pairs", third, lambda p, c: p * 27 + c))
+    coded = made_once(coded, _pairs=F.zip_with("_codes", second, lambda a, b: a * 27 + b))
+    coded = made_once(coded, _triples=F.zip_with("_pairs", third, lambda p, c: p * 27 + c))
     letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
     digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
     upper = F.length(F.regexp_replace(value, "[^A-Z]", ""))
@@ -194,7 +197,7 @@ def with_features(found: DataFrame, statistics: tuple[list[float], list[int]]) -
         "cue": _has(last, CUES).cast("int"),
         "harmless": _has(last, HARMLESS).cast("int"),
     }
-    return coded.withColumns({name: made[name].cast("double") for name in FEATURES}).drop("_codes", "_pairs", "_triples")
+    return made_once(coded, **{name: made[name].cast("double") for name in FEATURES}).drop("_codes", "_pairs", "_triples")
 
 
 def _decided(found: DataFrame) -> DataFrame:
@@ -219,7 +222,8 @@ def train(found: DataFrame, statistics: tuple[list[float], list[int]], labelled:
     examples = spark.createDataFrame([(v, b, a, float(y)) for b, v, a, y in EXAMPLES], "value string, before string, after string, label double")
     if labelled is not None:
         examples = examples.union(labelled.select("value", "before", "after", F.col("label").cast("double")))
-    rows = with_features(examples, statistics).select(*FEATURES, "label").union(_decided(found))
+    # the fit reads its few rows several times
+    rows = Scratch(spark, "secrets").keep(with_features(examples, statistics).select(*FEATURES, "label").union(_decided(found)))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=1, featureSubsetStrategy="sqrt", minInstancesPerNode=1)
     return forest.fit(_assembled(rows).select("features", "label"))
 
@@ -231,7 +235,7 @@ def find_secrets(
     scratch = Scratch(documents.sparkSession, "secrets")
     statistics = corpus_statistics(documents, text)
     found = scratch.keep(findings(documents, doc_id, text))
-    scored = with_features(found, statistics)
+    scored = scratch.keep(with_features(found, statistics))
     model = train(scored, statistics, labelled)
     judged = model.transform(_assembled(scored)).withColumn("probability", vector_to_array("probability")[1])
     # a candidate starts where the pieces and candidates before it end; one document's findings make a frame
