@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text, in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE_CLASS + "+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE_CLASS + "+"), "")
 
 
 def lower_ascii(text: Column) -> Column:

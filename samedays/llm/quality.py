@@ -74,8 +74,7 @@ def ledger(documents: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(source, "\n"), lambda line: F.translate(line, WHITE, "") != "")
     measured = made_once(documents.drop(*MEASURES, "failed"), _words=words(F.col(text)), _lines=lines)
     shorter = F.size("_words") - (WINDOW - 1)
-    firsts = F.zip_with(F.slice("_words", 1, shorter), F.slice("_words", 2, shorter), lambda a, b: F.xxhash64(a, b))
-    windows = F.zip_with(firsts, F.slice("_words", 3, shorter), lambda pair, c: F.xxhash64(pair, c))
+    windows = F.transform(F.slice("_words", 1, shorter), lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
     measured = made_once(
         measured,
         _hashes=F.when(shorter > 0, windows).otherwise(F.array().cast("array<bigint>")),
