@@ -85,8 +85,6 @@ TEMPLATES = (
 
 #: Rarest words of a template in the index, and highest-IDF licence words of a file that are looked up.
 INDEXED, LOOKED_UP = 8, 24
-#: A word in more than this share of the files is no rare word.
-MAX_SHARE = 0.2
 #: Words by which a match may be shifted inside (insertions such as a name or a year).
 SLACK = 4
 #: Share of a template's indexed words whose votes must agree, share of its words that a match needs, and the score
@@ -170,8 +168,8 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     # a few hundred counts, whatever the number of files
     counted = {row.word: row.n for row in document_frequencies(texts, {w: i for i, w in enumerate(vocabulary)}).collect()}
     total = counted.get(-1, 0)
-    # a word of no file is in no text that could match
-    present = {w: counted[i] for i, w in enumerate(vocabulary) if 0 < counted.get(i, 0) <= max(MAX_SHARE * total, 1)}
+    # a word of no file is in no text that could match; rarity only ranks a template's words, whatever their share
+    present = {w: counted[i] for i, w in enumerate(vocabulary) if counted.get(i, 0)}
     idf = {w: math.log((1 + total) / (1 + n)) for w, n in present.items()}
     shared = spark.sparkContext.broadcast(Index(idf))
 

@@ -298,6 +298,13 @@ def test_licenses(spark):
     assert by_id[3].labels == by_id[5].labels == "" and by_id[5].score == 0
 
 
+def test_licence_in_a_third_of_the_files(spark):
+    for label, body, _ in licenses.TEMPLATES:
+        rows = [(i, "some words that say nothing" + (" " + body if i % 3 == 0 else "")) for i in range(30)]
+        made = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {row.doc_id for row in made if label in row.labels.split(",")} == set(range(0, 30, 3)), label
+
+
 def test_quality_measures(documents, rows, nothing):
     expected = Counter()
     for doc_id, t in rows:
