@@ -1,9 +1,9 @@
 """Licence scan with a positional index of rare words.
 
 The templates are notices and key sentences of common licences. A template's rarest words, by inverse document
-frequency over all files, make the index: word -> (template, place). A file looks up its own highest-IDF licence
-words; each place in the file and each posting vote for the place where the template would begin. Templates whose
-votes agree on a place are verified there: every mandatory phrase must stand consecutively near it, and the score is
+frequency over all files, make the index: word -> (template, place). A file looks up all its words; each place in
+the file and each posting vote for the place where the template would begin. Templates whose votes agree on a place
+are verified there: every mandatory phrase must stand consecutively near it, and the score is
 the share of the template's words found in order of place.
 
 The index is a few hundred postings, fixed by the templates, and is broadcast. Files are read once to count
@@ -83,8 +83,8 @@ TEMPLATES = (
     ),
 )
 
-#: Rarest words of a template in the index, and highest-IDF licence words of a file that are looked up.
-INDEXED, LOOKED_UP = 8, 24
+#: Rarest words of a template in the index.
+INDEXED = 8
 #: Words by which a match may be shifted inside (insertions such as a name or a year).
 SLACK = 4
 #: Share of a template's indexed words whose votes must agree, share of its words that a match needs, and the score
@@ -96,7 +96,6 @@ class Index:
     """Postings of the templates' rarest words."""
 
     def __init__(self, idf: dict[bytes, float]) -> None:
-        self.idf = idf
         self.templates = [(label, plain_words(text), [plain_words(p) for p in phrases]) for label, text, phrases in TEMPLATES]
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         self.needed = []
@@ -113,13 +112,15 @@ class Index:
         for i, word in enumerate(words):
             if word in self.postings:
                 places.setdefault(word, []).append(i)
-        best = sorted(places, key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
-        votes: dict[int, list[tuple[int, bytes]]] = {}
-        for word in best:
-            for number, offset in self.postings[word]:
-                votes.setdefault(number, []).extend((place - offset, word) for place in places[word])
-        for number, found in votes.items():
-            found.sort()
+        voters: dict[int, set[bytes]] = {}
+        for word in places:
+            for number, _ in self.postings[word]:
+                voters.setdefault(number, set()).add(word)
+        for number, own in voters.items():
+            # votes of fewer different words cannot reach the number needed anywhere
+            if len(own) < self.needed[number]:
+                continue
+            found = sorted((place - offset, word) for word in own for n, offset in self.postings[word] if n == number for place in places[word])
             begin, inside, past = 0, {}, None
             for start, word in found:
                 inside[word] = inside.get(word, 0) + 1
@@ -129,9 +130,10 @@ class Index:
                     if not inside[gone]:
                         del inside[gone]
                     begin += 1
-                if len(inside) >= self.needed[number] and (past is None or found[begin][0] > past):
-                    past = start
-                    yield number, found[begin][0]
+                # every such place, so that chance votes just before a match do not hide it
+                if len(inside) >= self.needed[number] and found[begin][0] != past:
+                    past = found[begin][0]
+                    yield number, past
 
     def verify(self, number: int, start: int, words: list[bytes]) -> float:
         """Share of the template's words in order near the place; 0 if a mandatory phrase is missing there."""

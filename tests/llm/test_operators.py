@@ -305,6 +305,14 @@ def test_licence_in_a_third_of_the_files(spark):
         assert {row.doc_id for row in made if label in row.labels.split(",")} == set(range(0, 30, 3)), label
 
 
+def test_file_with_every_licence(spark):
+    """Rarer words of other licences, by chance or in a notice file, take no vote away."""
+    bodies = [body for _, body, _ in licenses.TEMPLATES]
+    rows = [(-1, "\n".join(bodies)), *enumerate(body for body in bodies for _ in range(40)), *((10_000 + i, "plain words") for i in range(3000))]
+    made = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id = -1").collect()
+    assert {label for label, _, _ in licenses.TEMPLATES} <= set(made[0].labels.split(","))
+
+
 def test_quality_measures(documents, rows, nothing):
     expected = Counter()
     for doc_id, t in rows:
