@@ -13,6 +13,10 @@ texts, which every task holds, have a fixed bound whatever the benchmark's size.
 4. A candidate is checked on words: the longest common subsequence of the item and the text around the passage,
    as a share of the item. `COPIED` or more is contamination. From `PARAPHRASED` on, the item's answer (column
    `answer` if there is one, else its last `ANSWER` words) must also stand in that text.
+5. What the cosine missed is looked up by words, without loss: a text around a passage can hold `COPIED` of an item only
+   if it holds `LEAST_RARE` words of the item's rarest (all but as many words as a copy may lack, and `LEAST_RARE` more),
+   and can be a paraphrase only if it holds the answer's run. Each such text is checked as in 4, so the result is that
+   of the check on every passage, short or widely copied items included.
 
 Defined results: null or blank texts and items match nothing. Items of fewer than `MIN_ITEM` words are only found by
 their exact run of words. Repeated documents are each reported; repeated items are one, under the least id.
@@ -39,6 +43,10 @@ MIN_ITEM = 8
 BLOCK_WORDS = 20_000
 #: Distinct weighted words that a passage needs to be compared: fewer cannot make a paraphrase of MIN_ITEM words.
 MIN_HITS = 3
+#: Rare words of an item that must stand around a passage for it to be checked; any value of 1 or more loses nothing.
+LEAST_RARE = 4
+#: Neighbouring passages that are first checked together.
+TOGETHER = 4
 #: Rows of the exchange that adds up the parts of a matrix.
 MATRIX_ROWS = 256
 #: Bits for a passage's number in its label; the text's number stands above them.
@@ -150,11 +158,13 @@ class Block:
         self.items = items
         self.number = {word: i for i, word in enumerate(sorted({w for item in items for w in item.words}))}
         self.idf = np.ones(len(self.number))
+        self.counts = np.zeros(len(self.number), np.int64)
 
     def weigh(self, counted: dict[int, int]) -> None:
         """Weights from document frequencies: number of a word -> documents, -1 -> all documents."""
         total = counted.get(-1, 0)
         n = np.array([counted.get(i, 0) for i in range(len(self.number))])
+        self.counts = n
         rare = n <= MAX_SHARE * total
         for item in self.items:
             own = np.array([self.number[w] for w in dict.fromkeys(item.words)])
@@ -165,9 +175,8 @@ class Block:
         get = self.number.get
         return np.fromiter((get(w, -1) for w in found), np.int64, len(found))
 
-    def weighted(self, found: list[bytes]) -> np.ndarray:
+    def weighted(self, numbers: np.ndarray) -> np.ndarray:
         """Numbers of the words that carry weight, -1 for others."""
-        numbers = self.numbers(found)
         return np.where(self.idf[numbers] > 0, numbers, -1) if len(self.idf) else numbers
 
 
@@ -188,7 +197,7 @@ def _hits(texts: DataFrame, block: Block) -> DataFrame:
         for batch in batches:
             out = []
             for text in batch["text"]:
-                numbers = own.weighted(plain_words(text))
+                numbers = own.weighted(own.numbers(plain_words(text)))
                 at = np.flatnonzero(numbers >= 0)
                 if len(at) >= MIN_HITS:
                     out.append((at.astype("<i4").tobytes(), numbers[at].astype("<i4").tobytes(), len(numbers)))
@@ -259,6 +268,104 @@ def randomised_svd(hits: DataFrame, block: Block, own: Rows | None, rank: int =
     return basis[:, : len(order)] if len(order) < rank else np.linalg.qr(image @ vectors[:, order])[0], np.sqrt(np.maximum(values[order], 0))
 
 
+def _near(words: list[bytes], start: int, size: int, passages: int = 1) -> list[bytes]:
+    """The text around some neighbouring passages, the first at `start`, for an item of `size` words."""
+    return words[max(start - size, 0) : start + passages * STRIDE + PASSAGE + size]
+
+
+class Lookup:
+    """Finds by words every text around a passage that the check can take for an item of MIN_ITEM words or more."""
+
+    def __init__(self, block: Block) -> None:
+        self.block = block
+        self.least = np.zeros(len(block.items), np.int64)
+        self.sizes = np.array([len(item.words) for item in block.items])
+        postings: list[list[int]] = [[] for _ in block.number]
+        self.answers: dict[bytes, list[tuple[int, int]]] = {}
+
+        def count(word: bytes) -> int:
+            return block.counts[block.number[word]] if word in block.number else 0
+
+        for i, item in enumerate(block.items):
+            size = len(item.words)
+            if size < MIN_ITEM:
+                continue
+            number, times = np.unique(block.numbers(item.words), return_counts=True)
+            order = np.argsort(block.counts[number], kind="stable")
+            spare = size - int(np.ceil(COPIED * size))  # words that a copy may lack
+            held = np.cumsum(times[order])
+            last = min(int(np.searchsorted(held, spare + LEAST_RARE)), len(held) - 1)
+            self.least[i] = held[last] - spare
+            for word in number[order[: last + 1]].tolist():
+                postings[word].append(i)
+            offset = min(range(len(item.answer)), key=lambda k, item=item: count(item.answer[k]))
+            self.answers.setdefault(item.answer[offset], []).append((i, offset))
+        # a given answer may have words that no item has
+        self.foreign = self.answers.keys() - block.number.keys()
+        self.anchor = np.zeros(len(block.number), bool)
+        self.anchor[[block.number[w] for w in self.answers.keys() - self.foreign]] = True
+        self.many = np.array([len(p) for p in postings], np.int64)
+        self.begin = np.cumsum(self.many) - self.many
+        self.items = np.array([i for p in postings for i in p], np.int64)
+
+    def _spans(self, words: list[bytes], numbers: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, first place, end, needed words): what must stand in the text around a passage, by places of the text."""
+        at = np.flatnonzero(numbers >= 0)
+        many = self.many[numbers[at]]
+        place = np.repeat(at, many)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many)
+        item = self.items[np.repeat(self.begin[numbers[at]], many) + within]
+        # most items have too few places in the whole text
+        enough = np.bincount(item, minlength=len(self.least)) >= self.least
+        place, item = place[enough[item]], item[enough[item]]
+        order = np.argsort(item, kind="stable")
+        place, item = place[order], item[order]
+        least = self.least[item]
+        last = np.arange(len(item)) + least - 1
+        last = np.minimum(last, len(item) - 1)
+        fits = (np.arange(len(item)) + least <= len(item)) & (item[last] == item)
+        fits &= place[last] - place < PASSAGE + STRIDE + 2 * self.sizes[item]
+        for i, first, end in zip(item[fits].tolist(), place[fits].tolist(), place[last[fits]].tolist(), strict=True):
+            yield i, first, end + 1, int(np.ceil(COPIED * self.sizes[i]))
+        anchors = {words[p] for p in at[self.anchor[numbers[at]]].tolist()}
+        if self.foreign:
+            anchors |= self.foreign & set(words)
+        for word in anchors:
+            places = [p for p, w in enumerate(words) if w == word]
+            for i, offset in self.answers[word]:
+                answer = self.block.items[i].answer
+                for p in places:
+                    if p >= offset and words[p - offset : p - offset + len(answer)] == answer:
+                        yield i, p - offset, p - offset + len(answer), int(np.ceil(PARAPHRASED * self.sizes[i]))
+
+    def matches(self, words: list[bytes], numbers: np.ndarray, known: set[int]) -> Iterator[tuple[int, int, float, bool]]:
+        """(item, passage, share, answered) of the first passage that the check takes for an item; `known` items are left out."""
+        final = -(-max(len(words) - PASSAGE, 0) // STRIDE)
+        wanted: dict[int, dict[int, int]] = {}
+        for i, first, end, needed in self._spans(words, numbers):
+            if i in known:
+                continue
+            size = int(self.sizes[i])
+            passages = wanted.setdefault(i, {})
+            low, high = max(-(-(end - PASSAGE - STRIDE - size) // STRIDE), 0), min((first + size) // STRIDE, final)
+            for passage in range(low, high + 1):
+                passages[passage] = min(passages.get(passage, needed), needed)
+        for i, passages in wanted.items():
+            entry, size = self.block.items[i], int(self.sizes[i])
+            groups: dict[int, list[int]] = {}
+            for passage in sorted(passages):
+                groups.setdefault(passage // TOGETHER, []).append(passage)
+            for group in groups.values():
+                # what all of them hold together bounds what each holds
+                wide = _near(words, group[0] * STRIDE, size, group[-1] - group[0] + 1)
+                if lcs_length(entry.words, wide) < min(passages[p] for p in group):
+                    continue
+                found = next(((p, *r) for p in group if (r := entry.check(_near(words, p * STRIDE, size)))[2]), None)
+                if found:
+                    yield i, found[0], found[1], found[2]
+                    break
+
+
 class Search:
     """What a task needs to search its texts for a block: weights, projection, the block's projected passages."""
 
@@ -271,10 +378,22 @@ class Search:
         weighted = set(self.item_of.tolist())
         self.plain = [i for i, item in enumerate(block.items) if item.words and (i not in weighted or len(item.words) < MIN_ITEM)]
 
+        self.lookup = Lookup(block)
+
+    def _cosine(self, rows: Rows | None, text: int, passage: int, item: int) -> float:
+        """Of a passage and the nearest passage of an item; 0 if either has too few weighted words for a row."""
+        own = self.own[self.item_of == item]
+        label = (text << TEXT_SHIFT) + passage
+        at = int(np.searchsorted(rows.label, label)) if rows is not None else 0
+        if rows is None or not len(own) or at == len(rows.label) or rows.label[at] != label:
+            return 0.0
+        return float((_unit(_part(rows, at, at + 1).times(self.vectors)) @ own.T).max())
+
     def matches(self, texts: list[str]) -> Iterator[tuple[int, int, float, float, bool]]:
         """(text, item, cosine, share, answered) of the contaminated pairs, the best passage of each."""
         found = [plain_words(t) for t in texts]
-        rows = _rows_of([self.block.weighted(f) for f in found], self.block.idf)
+        numbers = [self.block.numbers(f) for f in found]
+        rows = _rows_of([self.block.weighted(n) for n in numbers], self.block.idf)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
         if rows is not None and len(self.own):
             for begin in range(0, len(rows.label), 4096):
@@ -288,10 +407,15 @@ class Search:
                     size = len(entry.words)
                     if size < MIN_ITEM or (text, item) in best:
                         continue
-                    near = found[text][max(start - size, 0) : start + PASSAGE + STRIDE + size]
-                    share, answered, bad = entry.check(near)
+                    share, answered, bad = entry.check(_near(found[text], start, size))
                     if bad:
                         best[text, item] = (float(cosine[i, j]), share, answered)
+        known: dict[int, set[int]] = {}
+        for text, item in best:
+            known.setdefault(text, set()).add(item)
+        for i, words in enumerate(found):
+            for j, passage, share, answered in self.lookup.matches(words, numbers[i], known.get(i, set())):
+                best[i, j] = (self._cosine(rows, i, passage, j), share, answered)
         for i, words in enumerate(found if self.plain else []):
             run = b" " + b" ".join(words) + b" "
             for j in self.plain:
@@ -347,7 +471,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark):
         block.weigh({row.word: row.n for row in document_frequencies(texts, block.number).collect()})
-        own = _rows_of([block.weighted(item.words) for item in block.items], block.idf)
+        own = _rows_of([block.weighted(block.numbers(item.words)) for item in block.items], block.idf)
         hits = scratch.keep(_hits(texts.select("text"), block))
         vectors, _ = randomised_svd(hits, block, own)
         shared = spark.sparkContext.broadcast(Search(block, vectors, own))

@@ -349,6 +349,51 @@ def test_lcs():
         assert decontaminate.lcs_length(a, b) == table[-1][-1]
 
 
+def test_decontamination_equals_the_check_on_every_passage(spark):
+    """Short items, an item in a third of the documents, paraphrases with 55% of the words, and items with gaps."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(700)]
+    common = ["the", "of", "and", "to"]
+
+    def text(k):
+        return [rng.choice(common) if rng.random() < 0.4 else rng.choice(vocabulary) for _ in range(k)]
+
+    items = [*(text(rng.randint(8, 12)) for _ in range(25)), text(16), *(text(rng.randint(20, 45)) for _ in range(15))]
+    docs = []
+    for i in range(240):
+        own = text(rng.randint(0, 150))
+        copy = list(items[25] if i % 3 == 0 else items[i % len(items)])
+        if i % 3 == 1:  # other words for 45% of its words, the answer kept
+            for k in rng.sample(range(len(copy) - decontaminate.ANSWER), min(int(0.45 * len(copy)), len(copy) - decontaminate.ANSWER)):
+                copy[k] = rng.choice(vocabulary)
+        elif i % 3 == 2 and i % 2:  # words between its words
+            copy = [w for word in copy for w in (word, *text(rng.randint(0, 2)))]
+        docs.append((i, " ".join([*own, *copy, *text(rng.randint(0, 150))])))
+    benchmark = [(i, " ".join(words)) for i, words in enumerate(items)]
+    want = set()
+    for i, body in docs:
+        found = decontaminate.plain_words(body)
+        for j, item_text in benchmark:
+            item = decontaminate.Item(j, item_text, None)
+            size = len(item.words)
+            starts = range(0, max(len(found) - decontaminate.PASSAGE, 0) + decontaminate.STRIDE, decontaminate.STRIDE)
+            around = (found[max(s - size, 0) : s + decontaminate.PASSAGE + decontaminate.STRIDE + size] for s in starts)
+            if any(item.check(near)[2] for near in around):
+                want.add((i, j))
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    made = decontaminate.contaminated(left, spark.createDataFrame(benchmark, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in made} == want and len(made) == len(want)
+
+
+def test_decontamination_by_a_given_answer(spark):
+    """A paraphrase whose answer stands beside it and has words that no item has."""
+    item, answer = "which of the two rivers that leave the northern lake is the longer one", "the zembra"
+    text = "of the two rivers that leave a lake up there some say one is longer and it is the zembra that wins"
+    left = spark.createDataFrame([(1, text), (2, text.replace("zembra", "other"))], "doc_id long, text string")
+    made = decontaminate.contaminated(left, spark.createDataFrame([(7, item, answer)], "item_id long, text string, answer string")).collect()
+    assert [(r.doc_id, r.item_id, r.answered) for r in made] == [(1, 7, True)]
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(900)]
