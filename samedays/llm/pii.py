@@ -4,9 +4,9 @@ The patterns give the base spans. The field labels each word of a line as one of
 with one label become spans, and those that touch no base span are added. It is trained on the small labelled table
 below by maximum likelihood (forward-backward, fixed steps, no randomness), once, on the driver.
 
-Decoding is Viterbi in numpy over batches of lines, a word of every line at a time. Lines without a digit, an at-sign
-or a spelled-out address have nothing for the field to find and are not decoded. Each text is handled whole where it is
-read; nothing is shuffled.
+Decoding is Viterbi in numpy over batches of lines, a word of every line at a time. It is left out only for lines whose
+best labels are proven to be none throughout: where no word has a label that beats none even with the best transitions
+into and out of it. Each text is handled whole where it is read; nothing is shuffled.
 
 Defined results: null and empty texts have no spans. Repeated rows give repeated rows.
 """
@@ -112,10 +112,10 @@ def shape(word: str) -> str:
 
 @lru_cache(maxsize=100_000)
 def _own_features(word: str) -> tuple[str, ...]:
-    digits = sum(c.isdigit() for c in word)
-    drawn = shape(word)
     if _PLAIN.fullmatch(word):
         return ("plain", "cue=" + _CUES.get(word.lower().rstrip(".,;:!?"), "no"))
+    digits = sum(c.isdigit() for c in word)
+    drawn = shape(word)
     signs = "".join(sorted(set(re.sub(r"[\w\s]", "", word))))[:8]
     return (
         "shape=" + drawn[:20],
@@ -238,6 +238,66 @@ def train(steps: int = 300, rate: float = 0.5, decay: float = 0.002) -> Field:
     return Field(number, weights, moves)
 
 
+class Filter(dict):
+    """Word -> number of its features, with what they add to the word's own scores and to its neighbours'."""
+
+    STEPS = (-2, -1, 1, 2)
+    #: Words that are kept at a time.
+    WORDS = 1_000_000
+
+    def __init__(self, field: Field) -> None:
+        self.field = field
+        self.kinds: dict[tuple[str, ...], int] = {}
+        self.own: list[np.ndarray] = []
+        self.near: list[np.ndarray] = []
+        gains = field.moves - field.moves[0, 0]
+        # transitions into a label, and one out of it, at their best; the first and last word have none
+        self.bonus = np.maximum(gains[:, 1:].max(axis=0), 0) + max(gains[1:, 0].max(), 0)
+        self[""] = self._kind(("edge",))
+
+    def _score(self, names: list[str]) -> np.ndarray:
+        return self.field.weights[[self.field.number[f] for f in names if f in self.field.number]].sum(axis=0)
+
+    def _kind(self, own: tuple[str, ...]) -> int:
+        if own not in self.kinds:
+            self.kinds[own] = len(self.own)
+            self.own.append(self._score(list(own)))
+            # for plain words beside it, and for others
+            plain = [self._score([f"{step}:{f}" for f in own if f[:4] in ("cue=", "plai", "edge", "digi")]) for step in self.STEPS]
+            cued = [self._score([f"{step}&:{f}" for f in own if f[:4] == "cue=" and f != "cue=no"]) for step in self.STEPS]
+            self.near.append(np.array([plain, np.add(plain, cued)]))
+        return self.kinds[own]
+
+    def __missing__(self, word: str) -> int:
+        self[word] = kind = self._kind(_own_features(word))
+        return kind
+
+    def suspects(self, lines: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """Numbers and emissions of the lines that may have a label other than none; all others are proven to have none."""
+        if len(self) > self.WORDS:
+            self.__init__(self.field)
+        flat, sizes = ["", ""], []
+        for line in lines:
+            words = line.split()
+            flat += words
+            flat += ("", "")
+            sizes.append(len(words) + 2)
+        number = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
+        plain = np.array([own[0] == "plain" for own in self.kinds])
+        own, near = np.array(self.own), np.array(self.near)
+        middle = number[2:-2]
+        scores = own[middle]
+        other = (~plain[middle]).astype(np.int64)
+        for k, step in enumerate(self.STEPS):
+            scores += near[number[2 + step : len(number) - 2 + step], other, k]
+        # the margin is far above what the order of a sum can change
+        beats = (scores[:, 1:] - scores[:, :1] + self.bonus > -1e-6).any(axis=1)
+        line_of = np.repeat(np.arange(len(lines)), sizes)[: len(middle)]
+        first = np.cumsum(sizes) - sizes
+        for i in np.unique(line_of[beats & (middle != self[""])]).tolist():
+            yield i, scores[first[i] : first[i] + sizes[i] - 2].copy()
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -267,14 +327,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-#: A line without any of these holds plain words or signs only; cheap to look for. Spelled-out addresses need a cue.
-_SUSPECT = re.compile(r"[0-9@]|(?i:\bat\b.{1,80}\bdot\b)|\(at\)|\[at\]")
-
-
-def added_spans(lines: list[tuple[int, str]], field: Field) -> list[list[tuple[int, int, int]]]:
-    """(start, kind, end) that the field finds in each line, given (offset, line)."""
+def added_spans(lines: list[tuple[int, str]], field: Field, emissions: list[np.ndarray] | None = None) -> list[list[tuple[int, int, int]]]:
+    """(start, kind, end) that the field finds in each line, given (offset, line) and the emissions if they are known."""
     tokens = [[(m.start(), m.end()) for m in _TOKEN.finditer(line)] for _, line in lines]
-    emissions = [field.emissions([line[s:e] for s, e in found]) for (_, line), found in zip(lines, tokens, strict=True)]
+    if emissions is None:
+        emissions = [field.emissions([line[s:e] for s, e in found]) for (_, line), found in zip(lines, tokens, strict=True)]
     out = []
     for (offset, line), found, labels in zip(lines, tokens, field.viterbi(emissions), strict=True):
         spans = []
@@ -296,8 +353,22 @@ def added_spans(lines: list[tuple[int, str]], field: Field) -> list[list[tuple[i
     return out
 
 
-#: Lines that are decoded together.
-LINES = 2_000
+#: Lines that are decoded together, and characters of text whose lines are filtered together.
+LINES, CHARACTERS = 2_000, 1 << 20
+
+
+def suspect_lines(texts: list[str], kept: Filter) -> Iterator[tuple[int, int, str, np.ndarray]]:
+    """(text, offset, line, emissions) of every line that may hold something."""
+    held: list[tuple[int, int, str]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for m in _LINE.finditer(text):
+            held.append((i, m.start(), m.group()))
+            size += len(held[-1][2])
+            if size >= CHARACTERS:
+                yield from ((*held[k], scores) for k, scores in kept.suspects([line for _, _, line in held]))
+                held, size = [], 0
+    yield from ((*held[k], scores) for k, scores in kept.suspects([line for _, _, line in held]))
 
 
 def find_pii(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -308,15 +379,10 @@ def find_pii(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         field = shared.value
+        kept = Filter(field)
         for batch in batches:
             base = [base_spans(t) for t in batch["text"]]
-            lines = [
-                (i, m.start(), m.group())
-                for i, t in enumerate(batch["text"])
-                if _SUSPECT.search(t)
-                for m in _LINE.finditer(t)
-                if _SUSPECT.search(m.group())
-            ]
+            lines = list(suspect_lines(batch["text"].tolist(), kept))
             more: list[list[tuple[int, int, int]]] = [[] for _ in base]
             # lines of like length together, so that padding stays small
             lines.sort(key=lambda line: len(line[2]))
@@ -327,7 +393,8 @@ def find_pii(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                     end += 1
                     size = (end - begin) * len(lines[end - 1][2])
                 part = lines[begin:end]
-                for (i, _, _), spans in zip(part, added_spans([(s, line) for _, s, line in part], field), strict=True):
+                made = added_spans([(s, line) for _, s, line, _ in part], field, [scores for *_, scores in part])
+                for (i, *_), spans in zip(part, made, strict=True):
                     more[i] += [s for s in spans if all(s[2] <= b[0] or b[2] <= s[0] for b in base[i])]
                 begin = end
 

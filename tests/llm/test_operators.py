@@ -250,6 +250,24 @@ def test_pii_field_on_held_out_lines():
     assert right >= 4
 
 
+def test_pii_leaves_out_no_line_with_a_label(spark):
+    field = pii.train()
+    kept = pii.Filter(field)
+    rng = random.Random(2)
+    labelled = [" ".join(words) for words, _ in pii._labelled_lines()]
+    pieces = sorted({w for line in labelled for w in line.split()} | {"bob(AT)example.org", "[AT]", "At", "x", "…", "é"})
+    lines = [*labelled, *(" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(3000)), "", " \t "]
+    passed = dict(kept.suspects(lines))
+    every = pii.added_spans([(0, line) for line in lines], field)
+    assert {i for i, spans in enumerate(every) if spans} <= set(passed)
+    assert {i for i, (_, labels) in enumerate(pii._labelled_lines()) if any(labels)} <= set(passed)
+    some = sorted(passed)
+    assert pii.added_spans([(0, lines[i]) for i in some], field, [passed[i] for i in some]) == [every[i] for i in some]
+    texts = ["Write to anna.smith at example.com for details .", "Mail: bob(AT)example.org please ."]
+    made = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {texts[r.doc_id][s.start : s.end] for r in made for s in r.spans} == {"anna.smith at example.com", "bob(AT)example.org"}
+
+
 def test_viterbi_equals_all_paths():
     from itertools import product
 
