@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 
@@ -11,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samedays.functions.shared import shared_folder
+
 #: White space and words as every contract of this subpackage has them (ASCII white space only).
 WHITE = " \t\n\x0b\f\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]"
@@ -40,15 +41,6 @@ def made_once(frame: DataFrame, **columns: Column) -> DataFrame:
     return frame.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is unset, a temporary one (tests)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="samedays-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 class Scratch:
     """Tables written in the shared folder to cut lineage: they outlive the executors that wrote them."""
 

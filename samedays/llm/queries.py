@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samedays.llm import bpe, decontaminate, licenses, oracle, pages, pii, quality, secrets, simhash, substrings, urls
+from samedays.llm import bpe, decontaminate, licenses, merkle, oracle, pages, pii, quality, secrets, simhash, substrings, urls
 from samedays.llm.common import read_table
 
 
@@ -73,6 +73,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_ledger": op8_quality_ledger,
     "op9_url_reputation": op9_url_reputation,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle": op11_merkle,
 }
 
 #: The others hash, learn or parse beyond SQL; tests hold them against brute force.
