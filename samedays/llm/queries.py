@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samedays.llm import bpe, decontaminate, licenses, merkle, oracle, pages, pii, quality, secrets, simhash, substrings, urls
+from samedays.llm import bpe, decontaminate, licenses, merkle, oracle, pages, pii, quality, secrets, simhash, sketches, substrings, urls, whitening
 from samedays.llm.common import read_table
 
 
@@ -77,6 +77,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(read_table(spark, sf_dir, "documents"))
 
 
+def op12_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare_neighbours(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -89,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_reputation": op9_url_reputation,
     "op10_decontaminate": op10_decontaminate,
     "op11_merkle": op11_merkle,
+    "op12_sketches": op12_sketches,
+    "op13_whitening": op13_whitening,
 }
 
 #: The others hash, learn or parse beyond SQL; tests hold them against brute force.

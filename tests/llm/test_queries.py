@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert [int(name.split("_")[0][2:]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name.split("_")[0][2:]) for name in QUERIES] == list(range(1, 14))
 
 
 def kept_by_quality(documents: list[dict]) -> list[dict]:
