@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 from samedays.functions import grid, text
 from samedays.operators.observations import daily_location_counts, daily_locations, day_cells, observations
 from samedays.operators.pairing import enumerate_pairs, pair_days_by_date, pair_stats
-from samedays.operators.ranking import rank_pairs, tied_winners, top_pairs
+from samedays.operators.ranking import rank_pairs, ranked_pairs, tied_winners, top_pairs
 from samedays.operators.replication import replicate
 from samedays.operators.results import results_upsert
 from samedays.operators.scaling import (
     METRICS,
     best_config,
+    merge_moments,
     metrics_dimensions,
     metrics_long,
+    moments_summary,
     peak_efficiency,
     speedup,
     strong_efficiency,
+    timing_moments,
     weak_efficiency,
     weak_missing_baseline,
 )
@@ -35,6 +38,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 WEAK_WORKERS = 4
 TOP_K = 20
+RANKED_K = 2_000
+RUN_BATCHES = 3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,6 +170,14 @@ def upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_upsert(old, new.withColumn("time_p3x", failed))
 
 
+def merged_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of all runs from the states of batches of them, each made without the others."""
+    metrics = run_metrics(spark, sf_dir)
+    batches = [metrics.where(F.pmod("run", F.lit(RUN_BATCHES)) == batch) for batch in range(RUN_BATCHES)]
+    states = [timing_moments(metrics_long(batch)) for batch in batches]
+    return _rounded(moments_summary(merge_moments(*states)), "mean_time", "std_time")
+
+
 QUERIES: dict[str, Query] = {
     "day_key": day_key_query,
     "grid_round": grid_round_query,
@@ -178,6 +191,9 @@ QUERIES: dict[str, Query] = {
     "top_pair_join": _top("join"),
     "top_pair_array": _top("array"),
     "top_pair_blocked": _top("blocked"),
+    "top_pair_prefix": _top("prefix"),
+    "top_pair_rounds": _top("rounds"),
+    "ranked_pairs": lambda s, d: _joined_times(ranked_pairs(place_observations(s, d), RANKED_K)),
     "top_k_pairs": lambda s, d: _joined_times(rank_pairs(top_pairs(place_observations(s, d), TOP_K))),
     "tied_winners": lambda s, d: tied_winners(place_observations(s, d)),
     "replicate_weak": lambda s, d: replicate(place_observations(s, d), WEAK_WORKERS),
@@ -186,6 +202,7 @@ QUERIES: dict[str, Query] = {
     "metrics_long": lambda s, d: metrics_long(run_metrics(s, d)),
     "metrics_dimensions": lambda s, d: metrics_dimensions(run_metrics(s, d)),
     "metrics_summary": lambda s, d: _rounded(summary_of(s, d), "mean_time", "std_time"),
+    "metrics_merged": merged_summary_query,
     "speedup": speedup_query,
     "strong_efficiency": strong_query,
     "weak_efficiency": weak_query,
@@ -296,6 +313,10 @@ FROM pairs GROUP BY date""",
     "top_pair_join": _TOP_SQL,
     "top_pair_array": _TOP_SQL,
     "top_pair_blocked": _TOP_SQL,
+    "top_pair_prefix": _TOP_SQL,
+    "top_pair_rounds": _TOP_SQL,
+    "ranked_pairs": f"""SELECT *, row_number() OVER ({_BEST_FIRST}) AS rank
+FROM ({_stats_sql()} {_BEST_FIRST} LIMIT {RANKED_K})""",
     "top_k_pairs": f"""SELECT *, row_number() OVER ({_BEST_FIRST}) AS rank
 FROM ({_stats_sql()} {_BEST_FIRST} LIMIT {TOP_K})""",
     "tied_winners": f"""WITH stats AS ({_stats_sql()})
@@ -309,6 +330,8 @@ SELECT printf('Pair:    (lon=%.1f, lat=%.1f) -> (lon=%.1f, lat=%.1f)', lon1, lat
     "metrics_dimensions": f"""{_metrics_sql()} SELECT DISTINCT 'solver' AS dimension, solver AS value FROM metrics
 UNION ALL SELECT DISTINCT 'workers', cast(workers AS varchar) FROM metrics""",
     "metrics_summary": f"""{_metrics_sql()} SELECT workers, solver, partition_multiplier,
+  round(mean_time, 6) AS mean_time, round(std_time, 6) AS std_time FROM summary""",
+    "metrics_merged": f"""{_metrics_sql()} SELECT workers, solver, partition_multiplier,
   round(mean_time, 6) AS mean_time, round(std_time, 6) AS std_time FROM summary""",
     "speedup": f"""{_metrics_sql()} SELECT {_SERIES}, round(baseline / mean_time, 6) AS speedup
 FROM based WHERE workers <> 2""",

@@ -23,9 +23,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver delete what stands at a path when its session's process ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def kept(frame: DataFrame) -> DataFrame:
     """The same rows, read from a table just written in the shared folder."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(frame.schema).parquet(path)

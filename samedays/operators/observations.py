@@ -61,6 +61,25 @@ def split_rejects(
     return _snapped(parsed.where(_usable())), parsed.where(~_usable()).select(*df.columns)
 
 
+def store_split(
+    df: DataFrame, path: str, date: str = "date", latitude: str = "latitude", longitude: str = "longitude"
+) -> tuple[DataFrame, DataFrame]:
+    """``split_rejects`` with one scan of the source for both tables.
+
+    Every event is parsed once and written under ``path``, partitioned by whether it can be used; both results
+    read their own partition. What stands at the path is replaced.
+    """
+    parsed = _parsed(df, date, latitude, longitude)
+    usable = _usable()
+    observed = F.when(usable, F.struct(F.col("day").alias("date"), grid.snap("x").alias("lon"), grid.snap("y").alias("lat")))
+    event = F.when(~usable, F.struct(*[F.col(f"`{name}`") for name in df.columns]))
+    marked = parsed.select(observed.alias("observed"), event.alias("event"), usable.alias("usable"))
+    marked.write.mode("overwrite").partitionBy("usable").parquet(path)
+    # without the schema, a table without events of one kind, or without any, could not be read
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return stored.where("usable").select("observed.*"), stored.where("NOT usable").select("event.*")
+
+
 def day_cells(obs: DataFrame) -> DataFrame:
     """Distinct (date, cell): a location counts once per day.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from math import isqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from samedays.operators.pairing import BLOCK, active_cells, count_pairs, enumerate_span_pairs
@@ -23,6 +23,18 @@ def seed_cells(k: int) -> int:
     return max(SEED_CELLS, isqrt(2 * k) + 2)
 
 
+def kth_best(counts: DataFrame, k: int) -> DataFrame:
+    """One row, one column ``floor``: days of the k-th best of rows (a, b, n_days), 1 where there are fewer.
+
+    From the number of pairs of each count, so nothing is sorted but at most as many rows as there are days.
+    """
+    if k == 1:
+        return counts.agg(F.coalesce(F.max("n_days"), F.lit(1)).alias("floor"))
+    sizes = counts.groupBy("n_days").agg(F.count("*").alias("n"))
+    so_far = sizes.select("n_days", F.sum("n").over(Window.orderBy(F.desc("n_days"))).alias("so_far"))
+    return so_far.where(F.col("so_far") >= k).agg(F.coalesce(F.max("n_days"), F.lit(1)).alias("floor"))
+
+
 def support_floor(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int | None = None) -> DataFrame:
     """One row, one column: days that each of the k best pairs has at least.
 
@@ -32,9 +44,7 @@ def support_floor(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int |
     busiest = rows.groupBy("cell").agg(F.sum(F.bit_count("days")).alias("n")).orderBy(F.desc("n"), "cell")
     seeds = busiest.limit(seed_cells(k)).select("cell")
     counts = count_pairs(enumerate_span_pairs(rows.join(seeds, "cell", "left_semi"), block, multiplier))
-    best = counts.orderBy(F.desc("n_days"), "a", "b").limit(k)
-    floor = F.when(F.count("*") == k, F.min("n_days")).otherwise(F.lit(1))
-    return best.agg(floor.alias("floor"))
+    return kth_best(counts, k)
 
 
 def frequent_cells(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int | None = None) -> DataFrame:

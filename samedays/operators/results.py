@@ -11,8 +11,8 @@ def results_upsert(old: DataFrame, new: DataFrame, key: str = "solver") -> DataF
 
     A key of ``new`` replaces every column that ``new`` has, also with a blank
     (null) time of a failed run; columns that ``new`` lacks keep their old value.
-    Keys of ``old`` alone stay, keys of ``new`` alone are added. Write the result
-    to a path of its own: Spark cannot overwrite what it is reading.
+    Keys of ``old`` alone stay, keys of ``new`` alone are added. Spark cannot overwrite
+    what it is reading: ``sources.metrics.upsert_results`` replaces a table in place.
 
     Column names match whatever their case; the result spells them as ``old`` does.
     """

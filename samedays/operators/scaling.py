@@ -36,6 +36,47 @@ def metrics_summary(long: DataFrame) -> DataFrame:
     )
 
 
+def timing_moments(long: DataFrame) -> DataFrame:
+    """(workers, solver, partition_multiplier, n, mean, squares): a state of each configuration that merges with others.
+
+    ``squares`` is the sum of squared deviations from the mean. Missing times do not count; a configuration that has
+    no time at all has n = 0 and a null mean, and stays.
+    """
+    time = F.col("time")
+    return long.groupBy("workers", *_SERIES).agg(
+        F.count(time).alias("n"),
+        F.avg(time).alias("mean"),
+        F.coalesce(F.var_pop(time) * F.count(time), F.lit(0.0)).alias("squares"),
+    )
+
+
+def merge_moments(*states: DataFrame) -> DataFrame:
+    """The state of all runs from the states of some of them, in any order and grouping.
+
+    Means are merged first; each state then adds its own squares and those of its mean against the common one, so no
+    large squares cancel each other (Chan, Golub and LeVeque, 1979). States of a configuration are as many as are given.
+    """
+    every = states[0]
+    for state in states[1:]:
+        every = every.unionByName(state)
+    same = Window.partitionBy("workers", *_SERIES)
+    total = F.sum("n").over(same)
+    weighed = F.sum(F.col("n") * F.col("mean")).over(same) / F.nullif(total, F.lit(0))
+    with_mean = every.withColumn("common", weighed)
+    apart = F.col("n") * F.pow(F.col("mean") - F.col("common"), 2)
+    return with_mean.groupBy("workers", *_SERIES).agg(
+        F.sum("n").alias("n"), F.max("common").alias("mean"), F.sum(F.col("squares") + F.coalesce(apart, F.lit(0.0))).alias("squares")
+    )
+
+
+def moments_summary(states: DataFrame) -> DataFrame:
+    """``metrics_summary`` of all runs that went into merged states."""
+    deviation = F.sqrt(F.col("squares") / (F.col("n") - 1))
+    return states.select(
+        "workers", *_SERIES, F.col("mean").alias("mean_time"), F.when(F.col("n") > 1, deviation).alias("std_time")
+    )
+
+
 def _with_baseline(summary: DataFrame) -> DataFrame:
     # A window instead of a self-join: the summary is computed and shuffled once.
     # Its rows per series are one per worker count.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from samedays.operators.observations import observations, split_rejects
+from samedays.operators.observations import observations, split_rejects, store_split
 
 REQUIRED = ("date", "latitude", "longitude")
 
@@ -34,16 +34,17 @@ def dataset_path(bucket: str, scheme: str = "gs", name: str = "dataset.csv") ->
 
 
 def read_observations(
-    spark: SparkSession, path: str, mode: str = "strict", fmt: str = "csv"
+    spark: SparkSession, path: str, mode: str = "strict", fmt: str = "csv", stored: str | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """(observations, rejects).
 
     ``strict``: an unusable event fails the job; there are no rejects (None).
-    ``permissive``: unusable events come back as the second table.
+    ``permissive``: unusable events come back as the second table. With ``stored``, both are written there
+    in one scan of the source, and read from there; without, each scans the source when it is used.
     """
     events = read_events(spark, path, fmt)
     if mode == "strict":
         return observations(events), None
     if mode == "permissive":
-        return split_rejects(events)
+        return split_rejects(events) if stored is None else store_split(events, stored)
     raise ValueError(f"unknown mode {mode!r}, expected 'strict' or 'permissive'")

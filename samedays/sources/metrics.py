@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samedays.operators.results import results_upsert
 from samedays.operators.scaling import KEYS, METRICS
+from samedays.sources.versions import read_current, replace_current
 
 _ORDER = ("solver", "partition_multiplier", "workers")
 
@@ -42,6 +44,18 @@ def write_results(results: DataFrame, path: str) -> None:
     results.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def upsert_results(new: DataFrame, path: str) -> DataFrame:
+    """Write the rows of ``new`` over those of the versioned result table at ``path``, and return what it now holds.
+
+    The table is read and replaced in place. If the job fails at any point, the table is as it was. Without a
+    table yet, the new rows become it.
+    """
+    spark = new.sparkSession
+    old = read_current(spark, path)
+    replace_current(new if old is None else results_upsert(old, new), path)
+    return read_current(spark, path)
+
+
 def _write_table(table: DataFrame, columns: tuple[str, ...], path: str) -> None:
     ordered = table.select(*columns).orderBy(*_ORDER)
     ordered.write.mode("overwrite").option("header", "true").csv(path)
