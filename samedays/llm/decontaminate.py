@@ -3,8 +3,10 @@
 The benchmark is the stated query set. It is taken in blocks of `BLOCK_WORDS` words, so a block's words, vectors and
 texts, which every task holds, have a fixed bound whatever the benchmark's size.
 
-1. Document frequencies of a block's words are counted over all documents. Words in up to `MAX_SHARE` of the
-   documents carry weight, and the `RAREST` rarest words of each item, however frequent they are.
+1. Every text is cut into words once. What is kept of it, in the shared folder, is the number of each of its words
+   among the block's, 0 for other words; no later step needs more. Document frequencies of the block's words are
+   counted over all documents. Words in up to `MAX_SHARE` of the documents carry weight, and the `RAREST` rarest words
+   of each item, however frequent they are.
 2. Every document is cut into passages of `PASSAGE` words, which become normalised TF-IDF rows over the weighted words.
    A randomised SVD is run over all of them and the benchmark's own: each task adds up its part of A'(A Q), the parts
    are added by key, and the driver orthogonalises a matrix of (block's words) x `RANK`.
@@ -18,20 +20,23 @@ texts, which every task holds, have a fixed bound whatever the benchmark's size.
    and can be a paraphrase only if it holds the answer's run. Each such text is checked as in 4, so the result is that
    of the check on every passage, short or widely copied items included.
 
-Defined results: null or blank texts and items match nothing. Items of fewer than `MIN_ITEM` words are only found by
-their exact run of words. Repeated documents are each reported; repeated items are one, under the least id.
+All items are searched alike, whatever their length; the shortest are found where most of their words stand in order
+near each other.
+
+Defined results: null or blank texts and items match nothing. Repeated documents are each reported; repeated items
+are one, under the least id. Without documents or items there are no rows. Other columns may have any name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samedays.llm.common import Scratch, document_frequencies, plain_words
+from samedays.llm.common import Scratch, plain_words
 
 PASSAGE, STRIDE = 48, 16
 RANK, OVERSAMPLED, ROUNDS = 96, 16, 2
@@ -39,9 +44,8 @@ MAX_SHARE, RAREST = 0.02, 6
 COSINE = 0.45
 COPIED, PARAPHRASED = 0.75, 0.5
 ANSWER = 5
-MIN_ITEM = 8
 BLOCK_WORDS = 20_000
-#: Distinct weighted words that a passage needs to be compared: fewer cannot make a paraphrase of MIN_ITEM words.
+#: Distinct weighted words that a passage needs for a row of its own.
 MIN_HITS = 3
 #: Rare words of an item that must stand around a passage for it to be checked; any value of 1 or more loses nothing.
 LEAST_RARE = 4
@@ -53,33 +57,48 @@ MATRIX_ROWS = 256
 TEXT_SHIFT = 28
 
 
-def lcs_length(a: list[bytes], b: list[bytes]) -> int:
+def lcs_length(a: Sequence, b: Iterable) -> int:
     """Length of the longest common subsequence, one bit of an integer per word of a."""
-    masks: dict[bytes, int] = {}
+    masks: dict = {}
     for i, word in enumerate(a):
         masks[word] = masks.get(word, 0) | (1 << i)
     row = (1 << len(a)) - 1
     full = row
     for word in b:
-        common = row & masks.get(word, 0)
-        row = ((row + common) | (row - common)) & full
+        mask = masks.get(word)
+        if mask:
+            common = row & mask
+            row = ((row + common) | (row - common)) & full
     return len(a) - row.bit_count()
 
 
+def holds_run(words: list, run: list) -> bool:
+    """Whether the words of a run stand in a list one after the other."""
+    at = -1
+    for _ in range(words.count(run[0])):
+        at = words.index(run[0], at + 1)
+        if words[at : at + len(run)] == run:
+            return True
+    return False
+
+
 class Item:
-    """One benchmark item: its words and its answer."""
+    """One benchmark item: its words and its answer, as text or as numbers."""
 
     def __init__(self, item_id: int, text: str, answer: str | None) -> None:
         self.item_id, self.words = item_id, plain_words(text)
         self.answer = plain_words(answer) or self.words[-ANSWER:]
-        self.run = b" " + b" ".join(self.words) + b" "
-        self.answer_run = b" " + b" ".join(self.answer) + b" "
 
-    def check(self, near: list[bytes]) -> tuple[float, bool, bool]:
+    def numbered(self, number: dict[bytes, int]) -> Item:
+        out = object.__new__(Item)
+        out.item_id, out.words, out.answer = self.item_id, [number[w] for w in self.words], [number[w] for w in self.answer]
+        return out
+
+    def check(self, near: list) -> tuple[float, bool, bool]:
         """(share of the item's words in the common subsequence, answer found, contaminated)."""
         share = lcs_length(self.words, near) / len(self.words)
-        answered = self.answer_run in b" " + b" ".join(near) + b" "
-        return share, answered, share >= COPIED or (share >= PARAPHRASED and answered)
+        answered = share >= PARAPHRASED and holds_run(near, self.answer)
+        return share, answered, share >= COPIED or answered
 
 
 def _passage_hits(numbers: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,77 +171,96 @@ def _rows_of(numbers: list[np.ndarray], idf: np.ndarray, stride: int = STRIDE) -
 
 
 class Block:
-    """The words of some items, numbered, with what the tasks need of them."""
+    """Some items, their words numbered from 1, and what the tasks need of them. Number 0 is any other word."""
 
     def __init__(self, items: list[Item]) -> None:
-        self.items = items
-        self.number = {word: i for i, word in enumerate(sorted({w for item in items for w in item.words}))}
-        self.idf = np.ones(len(self.number))
-        self.counts = np.zeros(len(self.number), np.int64)
+        words = sorted({w for item in items for w in (*item.words, *item.answer)})
+        self.number = {word: i for i, word in enumerate(words, start=1)}
+        self.items = [item.numbered(self.number) for item in items]
+        self.kind = "<u2" if len(words) < 1 << 16 else "<u4"
+        self.idf = np.ones(len(words) + 1)
+        self.counts = np.zeros(len(words) + 1, np.int64)
 
     def weigh(self, counted: dict[int, int]) -> None:
-        """Weights from document frequencies: number of a word -> documents, -1 -> all documents."""
-        total = counted.get(-1, 0)
-        n = np.array([counted.get(i, 0) for i in range(len(self.number))])
+        """Weights from document frequencies: number of a word -> documents, 0 -> all documents."""
+        total = counted.get(0, 0)
+        n = np.array([0, *(counted.get(i, 0) for i in range(1, len(self.idf)))])
         self.counts = n
-        rare = n <= MAX_SHARE * total
+        rare = np.zeros(len(n), bool)
         for item in self.items:
-            own = np.array([self.number[w] for w in dict.fromkeys(item.words)])
+            own = np.array(list(dict.fromkeys(item.words)))
+            rare[own[n[own] <= MAX_SHARE * total]] = True
             rare[own[np.argsort(n[own], kind="stable")[:RAREST]]] = True
         self.idf = np.where(rare, np.log((1 + total) / (1 + n)) + 1, 0.0)
 
     def numbers(self, found: list[bytes]) -> np.ndarray:
         get = self.number.get
-        return np.fromiter((get(w, -1) for w in found), np.int64, len(found))
+        return np.fromiter((get(w, 0) for w in found), self.kind, len(found))
 
     def weighted(self, numbers: np.ndarray) -> np.ndarray:
         """Numbers of the words that carry weight, -1 for others."""
-        return np.where(self.idf[numbers] > 0, numbers, -1) if len(self.idf) else numbers
+        return np.where(self.idf[numbers] > 0, numbers.astype(np.int64), -1)
+
+
+def _numbered(texts: DataFrame, block: Block) -> DataFrame:
+    """(doc_id, numbers): every text as the packed numbers of its words."""
+    shared = texts.sparkSession.sparkContext.broadcast((block.number, block.kind))
+    id_type = texts.schema["doc_id"].dataType.simpleString()
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, kind = shared.value
+        get = number.get
+        for batch in batches:
+            found = [plain_words(text) for text in batch["text"]]
+            yield batch[["doc_id"]].assign(numbers=[np.fromiter((get(w, 0) for w in f), kind, len(f)).tobytes() for f in found])
 
-def _batches_of_texts(batch: pd.DataFrame, size: int = 1 << 21) -> Iterator[pd.DataFrame]:
-    """Parts of a batch with about `size` characters of text; a longer text is a part of its own."""
-    lengths = batch["text"].str.len().to_numpy()
-    part = (np.cumsum(lengths) - lengths) // size
-    for _, rows in batch.groupby(part, sort=False):
-        yield rows
+    return texts.mapInPandas(run, f"doc_id {id_type}, numbers binary")
 
 
-def _hits(texts: DataFrame, block: Block) -> DataFrame:
-    """(places, numbers, length): a document's weighted words, packed; documents with too few are left out."""
-    shared = texts.sparkSession.sparkContext.broadcast(block)
+def _frequencies(stored: DataFrame, block: Block) -> dict[int, int]:
+    """Number of a word -> texts that have it; 0 -> all texts. A task sends one row per word."""
+    size, kind = len(block.idf), block.kind
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        total, rows = np.zeros(size, np.int64), 0
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                numbers = own.weighted(own.numbers(plain_words(text)))
-                at = np.flatnonzero(numbers >= 0)
-                if len(at) >= MIN_HITS:
-                    out.append((at.astype("<i4").tobytes(), numbers[at].astype("<i4").tobytes(), len(numbers)))
-            yield pd.DataFrame(out, columns=["places", "numbers", "length"])
-
-    return texts.mapInPandas(run, "places binary, numbers binary, length int")
+            for packed in batch["numbers"]:
+                total[np.unique(np.frombuffer(packed, kind))] += 1
+            rows += len(batch)
+        total[0] = rows
+        yield pd.DataFrame({"word": np.arange(size), "n": total})[total > 0]
+
+    counted = stored.select("numbers").mapInPandas(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return {row.word: row.n for row in counted.collect()}
+
+
+def _parts(batch: pd.DataFrame, kind: str, size: int = 1 << 19) -> Iterator[list[np.ndarray]]:
+    """The texts of a batch as numbers, some half a million words at a time; a longer text is alone."""
+    held: list[np.ndarray] = []
+    words = 0
+    for packed in batch["numbers"]:
+        held.append(np.frombuffer(packed, kind))
+        words += len(held[-1])
+        if words >= size:
+            yield held
+            held, words = [], 0
+    if held:
+        yield held
 
 
-def _gram_times(hits: DataFrame, block: Block, basis: np.ndarray) -> np.ndarray:
+def _gram_times(stored: DataFrame, block: Block, basis: np.ndarray) -> np.ndarray:
     """A'(A basis) over all passages. A task adds up its rows; equal parts of all tasks are added by key."""
-    shared = hits.sparkSession.sparkContext.broadcast((block.idf, basis))
+    shared = stored.sparkSession.sparkContext.broadcast((block, basis))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        idf, matrix = shared.value
+        own, matrix = shared.value
         total = np.zeros(matrix.shape)
         for batch in batches:
-            for begin in range(0, len(batch), 500):
-                numbers = []
-                for places, found, length in batch.iloc[begin : begin + 500].itertuples(index=False):
-                    n = np.full(length, -1, np.int64)
-                    n[np.frombuffer(places, "<i4")] = np.frombuffer(found, "<i4")
-                    numbers.append(n)
-                rows = _rows_of(numbers, idf, PASSAGE)
+            for part in _parts(batch, own.kind):
+                numbers = [own.weighted(n) for n in part]
+                rows = _rows_of([n for n in numbers if np.count_nonzero(n >= 0) >= MIN_HITS], own.idf, PASSAGE)
                 if rows is not None:
-                    total += rows.transposed_times(rows.times(matrix), len(idf))
+                    total += rows.transposed_times(rows.times(matrix), len(own.idf))
         parts = [(i, total[i : i + MATRIX_ROWS].tobytes()) for i in range(0, len(total), MATRIX_ROWS)]
         yield pd.DataFrame(parts, columns=["part", "sums"])
 
@@ -235,7 +273,7 @@ def _gram_times(hits: DataFrame, block: Block, basis: np.ndarray) -> np.ndarray:
         yield pd.DataFrame([(k, v.tobytes()) for k, v in sums.items()], columns=["part", "sums"])
 
     schema = "part long, sums binary"
-    partial = hits.select("places", "numbers", "length").mapInPandas(run, schema)
+    partial = stored.select("numbers").mapInPandas(run, schema)
     # one matrix at most leaves a task, and each part is added where it meets the others, a row at a time
     rows = partial.repartition("part").mapInPandas(added, schema).collect()
     out = np.zeros(basis.shape)
@@ -245,16 +283,16 @@ def _gram_times(hits: DataFrame, block: Block, basis: np.ndarray) -> np.ndarray:
     return out
 
 
-def randomised_svd(hits: DataFrame, block: Block, own: Rows | None, rank: int = RANK, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def randomised_svd(stored: DataFrame, block: Block, own: Rows | None, rank: int = RANK, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(right singular vectors, singular values) of all passages, the benchmark's own (`own`) weighing as much as the rest.
 
-    Subspace iteration from a seeded Gaussian start; each round is one pass over the packed hits.
+    Subspace iteration from a seeded Gaussian start; each round is one pass over the packed texts.
     """
     width = min(rank + OVERSAMPLED, len(block.idf))
     basis = np.linalg.qr(np.random.default_rng(10).standard_normal((len(block.idf), width)))[0]
     image = basis
     for _ in range(rounds):
-        image = _gram_times(hits, block, basis)
+        image = _gram_times(stored, block, basis)
         if own is not None:
             part = own.transposed_times(own.times(basis), len(block.idf))
             scale = np.linalg.norm(image) / max(np.linalg.norm(part), 1e-12)
@@ -268,29 +306,23 @@ def randomised_svd(hits: DataFrame, block: Block, own: Rows | None, rank: int =
     return basis[:, : len(order)] if len(order) < rank else np.linalg.qr(image @ vectors[:, order])[0], np.sqrt(np.maximum(values[order], 0))
 
 
-def _near(words: list[bytes], start: int, size: int, passages: int = 1) -> list[bytes]:
+def _near(words: list[int], start: int, size: int, passages: int = 1) -> list[int]:
     """The text around some neighbouring passages, the first at `start`, for an item of `size` words."""
     return words[max(start - size, 0) : start + passages * STRIDE + PASSAGE + size]
 
 
 class Lookup:
-    """Finds by words every text around a passage that the check can take for an item of MIN_ITEM words or more."""
+    """Finds by words every text around a passage that the check can take for an item."""
 
     def __init__(self, block: Block) -> None:
         self.block = block
         self.least = np.zeros(len(block.items), np.int64)
         self.sizes = np.array([len(item.words) for item in block.items])
-        postings: list[list[int]] = [[] for _ in block.number]
-        self.answers: dict[bytes, list[tuple[int, int]]] = {}
-
-        def count(word: bytes) -> int:
-            return block.counts[block.number[word]] if word in block.number else 0
-
+        postings: list[list[int]] = [[] for _ in block.idf]
+        self.answers: dict[int, list[tuple[int, int]]] = {}
         for i, item in enumerate(block.items):
             size = len(item.words)
-            if size < MIN_ITEM:
-                continue
-            number, times = np.unique(block.numbers(item.words), return_counts=True)
+            number, times = np.unique(item.words, return_counts=True)
             order = np.argsort(block.counts[number], kind="stable")
             spare = size - int(np.ceil(COPIED * size))  # words that a copy may lack
             held = np.cumsum(times[order])
@@ -298,19 +330,17 @@ class Lookup:
             self.least[i] = held[last] - spare
             for word in number[order[: last + 1]].tolist():
                 postings[word].append(i)
-            offset = min(range(len(item.answer)), key=lambda k, item=item: count(item.answer[k]))
+            offset = min(range(len(item.answer)), key=lambda k, item=item: block.counts[item.answer[k]])
             self.answers.setdefault(item.answer[offset], []).append((i, offset))
-        # a given answer may have words that no item has
-        self.foreign = self.answers.keys() - block.number.keys()
-        self.anchor = np.zeros(len(block.number), bool)
-        self.anchor[[block.number[w] for w in self.answers.keys() - self.foreign]] = True
+        self.anchor = np.zeros(len(block.idf), bool)
+        self.anchor[list(self.answers)] = True
         self.many = np.array([len(p) for p in postings], np.int64)
         self.begin = np.cumsum(self.many) - self.many
         self.items = np.array([i for p in postings for i in p], np.int64)
 
-    def _spans(self, words: list[bytes], numbers: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def _spans(self, words: list[int], numbers: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item, first place, end, needed words): what must stand in the text around a passage, by places of the text."""
-        at = np.flatnonzero(numbers >= 0)
+        at = np.flatnonzero(self.many[numbers])
         many = self.many[numbers[at]]
         place = np.repeat(at, many)
         within = np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many)
@@ -327,18 +357,13 @@ class Lookup:
         fits &= place[last] - place < PASSAGE + STRIDE + 2 * self.sizes[item]
         for i, first, end in zip(item[fits].tolist(), place[fits].tolist(), place[last[fits]].tolist(), strict=True):
             yield i, first, end + 1, int(np.ceil(COPIED * self.sizes[i]))
-        anchors = {words[p] for p in at[self.anchor[numbers[at]]].tolist()}
-        if self.foreign:
-            anchors |= self.foreign & set(words)
-        for word in anchors:
-            places = [p for p, w in enumerate(words) if w == word]
-            for i, offset in self.answers[word]:
+        for p in np.flatnonzero(self.anchor[numbers]).tolist():
+            for i, offset in self.answers[words[p]]:
                 answer = self.block.items[i].answer
-                for p in places:
-                    if p >= offset and words[p - offset : p - offset + len(answer)] == answer:
-                        yield i, p - offset, p - offset + len(answer), int(np.ceil(PARAPHRASED * self.sizes[i]))
+                if p >= offset and words[p - offset : p - offset + len(answer)] == answer:
+                    yield i, p - offset, p - offset + len(answer), int(np.ceil(PARAPHRASED * self.sizes[i]))
 
-    def matches(self, words: list[bytes], numbers: np.ndarray, known: set[int]) -> Iterator[tuple[int, int, float, bool]]:
+    def matches(self, words: list[int], numbers: np.ndarray, known: set[int]) -> Iterator[tuple[int, int, float, bool]]:
         """(item, passage, share, answered) of the first passage that the check takes for an item; `known` items are left out."""
         final = -(-max(len(words) - PASSAGE, 0) // STRIDE)
         wanted: dict[int, dict[int, int]] = {}
@@ -374,10 +399,6 @@ class Search:
         self.vectors = vectors.astype(np.float32)
         self.own = _unit(own.times(self.vectors)) if own is not None else np.zeros((0, vectors.shape[1]), np.float32)
         self.item_of = (own.label >> TEXT_SHIFT) if own is not None else np.zeros(0, np.int64)
-        # items without enough weighted words are looked up as exact runs
-        weighted = set(self.item_of.tolist())
-        self.plain = [i for i, item in enumerate(block.items) if item.words and (i not in weighted or len(item.words) < MIN_ITEM)]
-
         self.lookup = Lookup(block)
 
     def _cosine(self, rows: Rows | None, text: int, passage: int, item: int) -> float:
@@ -389,10 +410,9 @@ class Search:
             return 0.0
         return float((_unit(_part(rows, at, at + 1).times(self.vectors)) @ own.T).max())
 
-    def matches(self, texts: list[str]) -> Iterator[tuple[int, int, float, float, bool]]:
+    def matches(self, numbers: list[np.ndarray]) -> Iterator[tuple[int, int, float, float, bool]]:
         """(text, item, cosine, share, answered) of the contaminated pairs, the best passage of each."""
-        found = [plain_words(t) for t in texts]
-        numbers = [self.block.numbers(f) for f in found]
+        found = [n.tolist() for n in numbers]
         rows = _rows_of([self.block.weighted(n) for n in numbers], self.block.idf)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
         if rows is not None and len(self.own):
@@ -405,7 +425,7 @@ class Search:
                     text, start = label >> TEXT_SHIFT, (label & ((1 << TEXT_SHIFT) - 1)) * STRIDE
                     entry = self.block.items[item]
                     size = len(entry.words)
-                    if size < MIN_ITEM or (text, item) in best:
+                    if (text, item) in best:
                         continue
                     share, answered, bad = entry.check(_near(found[text], start, size))
                     if bad:
@@ -416,11 +436,6 @@ class Search:
         for i, words in enumerate(found):
             for j, passage, share, answered in self.lookup.matches(words, numbers[i], known.get(i, set())):
                 best[i, j] = (self._cosine(rows, i, passage, j), share, answered)
-        for i, words in enumerate(found if self.plain else []):
-            run = b" " + b" ".join(words) + b" "
-            for j in self.plain:
-                if self.block.items[j].run in run:
-                    best[i, j] = (1.0, 1.0, True)
         for (text, item), values in best.items():
             yield text, self.block.items[item].item_id, *values
 
@@ -470,24 +485,28 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
     scratch = Scratch(spark, "decontaminate")
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark):
-        block.weigh({row.word: row.n for row in document_frequencies(texts, block.number).collect()})
-        own = _rows_of([block.weighted(block.numbers(item.words)) for item in block.items], block.idf)
-        hits = scratch.keep(_hits(texts.select("text"), block))
-        vectors, _ = randomised_svd(hits, block, own)
+        stored = scratch.keep(_numbered(texts, block))
+        block.weigh(_frequencies(stored, block))
+        own = _rows_of([block.weighted(np.array(item.words, block.kind)) for item in block.items], block.idf)
+        vectors, _ = randomised_svd(stored, block, own)
         shared = spark.sparkContext.broadcast(Search(block, vectors, own))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            kind = shared.value.block.kind
             for batch in batches:
-                for part in _batches_of_texts(batch):
-                    rows = [(part["doc_id"].iloc[i], *rest) for i, *rest in shared.value.matches(part["text"].tolist())]
+                begin = 0
+                for part in _parts(batch, kind):
+                    rows = [(batch["doc_id"].iloc[begin + i], *rest) for i, *rest in shared.value.matches(part)]
                     yield pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "lcs_share", "answered"])
+                    begin += len(part)
 
-        out = out.union(texts.mapInPandas(run, schema))
+        out = out.union(stored.mapInPandas(run, schema))
     return out
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item. A row without an id is kept or dropped with all such rows of its text."""
-    found = contaminated(documents.withColumn("_key", F.xxhash64(F.col(doc_id), F.col(text))), benchmark, "_key", text)
-    keyed = documents.withColumn("_key", F.xxhash64(F.col(doc_id), F.col(text)))
-    return keyed.join(found.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").drop("_key")
+    # the row as one value, whatever its columns are called
+    keyed = documents.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.struct("*").alias("row"))
+    found = contaminated(keyed.select("key", F.col("row")[text].alias("text")), benchmark, "key", "text")
+    return keyed.join(found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select("row.*")
