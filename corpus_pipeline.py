@@ -20,19 +20,34 @@ from samedays.llm.common import Scratch, read_table
 POLICY = "v1"
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with names that no operator uses, and those names by the columns' own."""
+    names = {name: f"column_{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _named(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    return docs.select(*[F.col(plain).alias(name) for name, plain in names.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the policy keeps."""
-    return quality.apply_policy(quality.ledger(docs), POLICY).select(*docs.columns)
+    plain, names = _plain(docs)
+    return _named(quality.apply_policy(quality.ledger(plain, names["text"]), POLICY), names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the least doc_id, null last."""
-    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
-    groups = simhash.near_duplicates(keyed, carry=["_key"])
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_key")).alias("first")
-    heads = groups.groupBy("root").agg(first).select("first._key")
-    # rows that are the same in every column share a key; one of them stays
-    return keyed.join(heads, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    plain, names = _plain(docs)
+    # 96 bits of hashes of the whole row; rows that share them are the same in every column
+    key = {"row_key": F.xxhash64(*plain.columns), "row_check": F.hash(*plain.columns)}
+    keyed = plain.withColumns(key)
+    carried = keyed.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), *key)
+    groups = simhash.near_duplicates(carried, carry=list(key))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", *key)).alias("first")
+    heads = groups.groupBy("root").agg(first).select("first.row_key", "first.row_check")
+    # one row of those that are the same stays
+    return _named(keyed.join(heads, list(key), "left_semi").dropDuplicates(list(key)), names)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,6 +81,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     rows = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         rows = scratch.keep(stage(spark, rows, sf_dir))
+        if number:
+            # its rows are in the table of this stage now
+            scratch.drop(number)
     return rows

@@ -5,16 +5,20 @@ space and drop it, so the ids of a text are the ids of its words, one after the
 parameter; each distinct word is encoded once, whatever its number of places.
 
 1. The words of a bounded sample of documents (`SAMPLE`) are counted; the `frequent` most frequent of at most
-   `FREQUENT_CHARS` characters are encoded and broadcast. This part of the word table only saves work: hot words never
-   meet in a shuffle. Results are the same whatever it holds.
+   `FREQUENT_CHARS` characters, and the `FREQUENT_LONG` most frequent longer ones up to `LONG_CHARS`, are encoded and
+   broadcast. This part of the word table only saves work: hot words never meet in a shuffle. Results are the same
+   whatever it holds.
 2. All other words of all texts go, once per text, to the task that holds the word; there each distinct one is encoded
-   once, and its ids go back to the text by the word's place among the text's own.
-3. Texts are not shuffled: they travel as compressed codes of their words.
+   once, and its ids go back to the text with the word's place among the text's own. Texts that are the same are
+   answered once.
+3. Texts are not shuffled: they travel as codes of their words, compressed with a dictionary made from the sample.
 4. Ids are put together by position, then decoded: piece = pieces[id], joined by a space, as the tokenizer's
-   decode does without a decoder.
+   decode does without a decoder. Words without ids, such as a lone no-break space, have no piece either.
+
+Ids travel in 2 bytes where the vocabulary allows it.
 
 Defined results: null and blank texts have no ids and decode to the empty text. Repeated rows, null and repeated ids
-give a row each. Texts of any length are taken whole.
+give a row each; an empty table gives none. Texts of any length are taken whole. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,10 +37,13 @@ from samedays.llm.common import words
 
 FREQUENT = 400_000
 FREQUENT_CHARS = 64
+FREQUENT_LONG, LONG_CHARS = 200, 1 << 16
 #: Documents from which the frequent words are taken.
-SAMPLE = 20_000
+SAMPLE = 60_000
 #: Words that the tokenizer gets at once.
 ENCODE_BATCH = 5_000
+#: Bytes of the dictionary that compresses codes, and texts of the sample that it is made from.
+DICTIONARY, DICTIONARY_TEXTS = 1 << 15, 2_000
 
 
 @lru_cache(maxsize=2)
@@ -49,6 +56,10 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+#: A place from here on takes 4 bytes more.
+_LONG = 0xFFFF
+
+
 def pieces_of(path: str) -> list[str | None]:
     """The piece of each id, by position: the right side of the decoding join. Bounded by the vocabulary."""
     tokenizer = _tokenizer(path)
@@ -96,31 +107,111 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") ->
 
 
 def frequent_words(documents: DataFrame, path: str, text: str, most: int, sample: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(word, ids) of the most frequent words of a sample of the documents: at most `most` rows of bounded words."""
+    """(word, ids) of the most frequent words of a sample of the documents: a bounded number of bounded words."""
     rows = documents.count()
     chosen = documents if rows <= sample else documents.sample(fraction=sample / rows, seed=2)
-    counted = distinct_words(chosen, text).filter(F.length("word") <= FREQUENT_CHARS)
-    top = counted.orderBy(F.desc("n"), "word").limit(most)
+    counted = distinct_words(chosen, text)
+    short = counted.filter(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("n"), "word").limit(most)
+    long = counted.filter(F.length("word").between(FREQUENT_CHARS + 1, LONG_CHARS) & (F.col("n") > 1))
+    top = short.union(long.orderBy(F.desc("n"), "word").limit(min(most, FREQUENT_LONG)))
     return list(zip(*(column.to_pylist() for column in encode_words(top, path).toArrow().columns), strict=True))
 
 
-def encode_by_word(places: DataFrame, path: str) -> DataFrame:
-    """The rows of (word, ...) with ids in the word's stead; all places of a word meet, and it is encoded once."""
-    others = [f for f in places.schema if f.name != "word"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others) + ", ids binary"
+def answer_words(places: DataFrame, path: str, kind: str) -> DataFrame:
+    """Rows (key, check, place, word) as (key, check, answer); all places of a word meet, and it is encoded once.
+
+    An answer is the place in 2 bytes, or in 4 behind 2 bytes of ones, and the ids.
+    """
+    columns = ["key", "check"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple[str, bytes] = ("", b"")
+        before: tuple | None = None
         for batch in batches:
-            # rows come sorted by word; the last word of a batch may go on in the next
+            # rows come sorted by word and text; what the same text asked before needs no second answer
+            first = ~batch.duplicated(["word", *columns]).to_numpy()
+            if len(batch):
+                first[0] &= tuple(batch.iloc[0][["word", *columns]]) != before
+                before = tuple(batch.iloc[-1][["word", *columns]])
+            batch = batch[first]
+            # the last word of a batch may go on in the next
             number, distinct = pd.factorize(batch["word"])
             fresh = [w for w in distinct if w != last[0]]
-            ids = dict(zip(fresh, _encoded(fresh, path), strict=True)) | {last[0]: last[1]}
+            ids = dict(zip(fresh, (np.frombuffer(b, "<u4").astype(kind).tobytes() for b in _encoded(fresh, path)), strict=True))
+            ids[last[0]] = last[1]
             table = [ids[w] for w in distinct]
             last = (distinct[-1], table[-1]) if len(distinct) else last
-            yield batch[[f.name for f in others]].assign(ids=[table[n] for n in number])
+            answers = [
+                (p.to_bytes(2, "little") if p < _LONG else b"\xff\xff" + p.to_bytes(4, "little")) + table[n]
+                for p, n in zip(batch["place"].tolist(), number.tolist(), strict=True)
+            ]
+            yield batch[columns].assign(answer=answers)
+
+    dealt = places.repartition("word").sortWithinPartitions("word", *columns)
+    return dealt.mapInPandas(run, "`key` long, `check` int, answer binary")
+
+
+def _answers(answers: np.ndarray, kind: str) -> dict[int, np.ndarray]:
+    """Ids of a text's own words by their places."""
+    out = {}
+    for answer in answers:
+        place, begin = int.from_bytes(answer[:2], "little"), 2
+        if place == _LONG:
+            place, begin = int.from_bytes(answer[2:6], "little"), 6
+        out[place] = np.frombuffer(answer, kind, -1, begin)
+    return out
+
 
-    return places.repartition("word").sortWithinPartitions("word").mapInPandas(run, schema)
+def _planes(numbers: list[int]) -> bytes:
+    """Numbers as bytes, those of the same weight next to each other, which compresses them."""
+    return np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _dictionary(samples: list[bytes]) -> bytes:
+    """A compression dictionary from some packed texts; empty where they are too few or too small for one."""
+    try:
+        return zstandard.train_dictionary(DICTIONARY, [s for s in samples if s]).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def _prepared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+
+
+class Spans:
+    """Ids of many words in one array, and the gathering of those of a list of words."""
+
+    def __init__(self, words: list[bytes], kind: str) -> None:
+        found = [np.frombuffer(ids, "<u4").astype(kind) for ids in words]
+        self.size = np.array([len(f) for f in found], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.ids = np.concatenate(found) if found else np.zeros(0, kind)
+
+    def gather(self, numbers: np.ndarray, own: dict[int, np.ndarray]) -> np.ndarray:
+        """Ids of the words with these numbers, one word after the other; numbers beyond the list are of `own` words."""
+        base = len(self.size)
+        rare = np.flatnonzero(numbers >= base)
+        known = np.where(numbers < base, numbers, 0) if len(rare) else numbers
+        if not base:
+            return np.concatenate([own[n] for n in numbers.tolist()] or [self.ids])
+        size, begin = self.size[known], self.begin[known]
+        if len(rare):
+            found = [own[n - base] for n in numbers[rare].tolist()]
+            size[rare] = [len(f) for f in found]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(begin - (ends - size), size)
+        if len(rare):
+            # their places are filled in afterwards
+            inside = np.zeros(len(numbers), bool)
+            inside[rare] = True
+            hole = np.repeat(inside, size)
+            at[hole] = 0
+            out = self.ids[at] if len(self.ids) else np.zeros(total, found[0].dtype)
+            out[hole] = np.concatenate(found)
+            return out
+        return self.ids[at]
 
 
 def encode(
@@ -136,6 +227,7 @@ def encode(
     source = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     known = spark.sparkContext.broadcast(frequent_words(source, path, "text", frequent))
     pieces = spark.sparkContext.broadcast(pieces_of(path))
+    kind = "<u2" if len(pieces.value) <= 1 << 16 else "<u4"
     id_type = source.schema["doc_id"].dataType.simpleString()
     # 96 bits of hashes of id and text; rows that share them are the same text, and no part is null
     keyed = source.withColumns({"key": F.xxhash64("doc_id", "text"), "check": F.hash("text")})
@@ -154,50 +246,49 @@ def encode(
             place = np.concatenate([np.arange(n) for n in many] or [np.zeros(0, int)])
             yield found.assign(place=place, word=pd.Series([w.decode() for r in rare for w in r], dtype=object))
 
+    def coded(codes: dict[bytes, int], text: str) -> list[int]:
+        """The number of each word: its code, or from the number of codes on, its place among the text's own words."""
+        found = text.encode().split()
+        rare: dict[bytes, int] = {}
+        base = len(codes)
+        return [codes[w] if w in codes else rare[w] if w in rare else rare.setdefault(w, base + len(rare)) for w in found]
+
+    sampled = [row.text for row in source.select(F.left("text", F.lit(10_000)).alias("text")).limit(DICTIONARY_TEXTS).collect()]
+    dictionary = spark.sparkContext.broadcast(_dictionary([_planes(coded(code_table(), text)) for text in sampled]))
+
     def skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = code_table()
-        packer = zstandard.ZstdCompressor(level=3)
+        prepared = _prepared(dictionary.value)
+        if prepared is not None:
+            prepared.precompute_compress(level=3)
+        packer = zstandard.ZstdCompressor(level=3, dict_data=prepared, write_dict_id=False)
         for batch in batches:
-            packed = []
-            for t in batch["text"]:
-                found = t.encode().split()
-                local = iter(range(len(codes), len(codes) + len(found)))
-                rare: dict[bytes, int] = {}
-                numbers = [codes[w] if w in codes else rare[w] if w in rare else rare.setdefault(w, next(local)) for w in found]
-                # bytes of the same weight next to each other, which compresses the codes
-                packed.append(packer.compress(np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()))
-            yield batch[["doc_id", *key]].assign(codes=packed)
-
-    # a word of a text once, numbered by its first place there, as `skeletons` numbers them
+            yield batch[["doc_id", *key]].assign(codes=[packer.compress(_planes(coded(codes, t))) for t in batch["text"]])
+
+    # a word of a text once, numbered by its first place there, as `coded` numbers them
     places = keyed.mapInPandas(rare_words, "`key` long, `check` int, place int, word string")
-    by_text = encode_by_word(places, path).groupBy(*key).agg(F.collect_list("place").alias("places"), F.collect_list("ids").alias("rare"))
+    by_text = answer_words(places, path, kind).groupBy(*key).agg(F.collect_list("answer").alias("answers"))
     bones = keyed.mapInPandas(skeletons, f"doc_id {id_type}, `key` long, `check` int, codes binary")
-    joined = bones.join(by_text, key, "left").select("doc_id", "codes", "places", "rare")
+    joined = bones.join(by_text, key, "left").select("doc_id", "codes", "answers")
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.array(pieces.value, dtype=object)
-
-        def text_of(ids: bytes) -> str:
-            return " ".join(table[np.frombuffer(ids, "<u4")])
-
-        ids_known = [ids for _, ids in known.value]
-        text_known = [text_of(ids) for ids in ids_known]
-        base = len(ids_known)
-        unpacker = zstandard.ZstdDecompressor()
+        words = Spans([ids for _, ids in known.value], kind)
+        unpacker = zstandard.ZstdDecompressor(dict_data=_prepared(dictionary.value))
         names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
         for batch in batches:
             rows = []
-            for packed, places, rare in zip(batch["codes"], batch["places"], batch["rare"], strict=True):
+            for packed, answers in zip(batch["codes"], batch["answers"], strict=True):
                 planes = np.frombuffer(unpacker.decompress(packed), np.uint8).reshape(4, -1)
-                numbers = np.ascontiguousarray(planes.T).view("<u4").ravel().tolist()
-                own = {} if rare is None else dict(zip((base + places).tolist(), rare, strict=True))
-                ids = b"".join([ids_known[c] if c < base else own[c] for c in numbers])
-                texts = {c: text_of(found) for c, found in own.items()}
-                decoded = " ".join([text_known[c] if c < base else texts[c] for c in numbers])
+                numbers = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+                found = words.gather(numbers, {} if answers is None else _answers(answers, kind))
+                # words without ids have no piece, and leave no blank
+                decoded = " ".join(table[found].tolist())
+                ids = found.astype("<u4").tobytes()
                 if digests:
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                    rows.append((len(found), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
                 else:
-                    rows.append((len(ids) // 4, ids, decoded))
+                    rows.append((len(found), ids, decoded))
             yield pd.concat([batch[["doc_id"]], pd.DataFrame(rows, columns=names, index=batch.index)], axis=1)
 
     if digests:

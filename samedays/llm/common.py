@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samedays.functions.shared import shared_folder
+from samedays.functions.shared import delete_at_exit, shared_folder
 
 #: White space and words as every contract of this subpackage has them (ASCII white space only).
 WHITE = " \t\n\x0b\f\r"
@@ -42,7 +42,7 @@ def made_once(frame: DataFrame, **columns: Column) -> DataFrame:
 
 
 class Scratch:
-    """Tables written in the shared folder to cut lineage: they outlive the executors that wrote them."""
+    """Tables written in the shared folder to cut lineage: they outlive the executors that wrote them, not the session."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -54,6 +54,8 @@ class Scratch:
         self.count += 1
         path = f"{self.folder}/{self.count}"
         frame.write.parquet(path)
+        if self.count == 1:
+            delete_at_exit(self.spark, self.folder)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, *numbers: int) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from samedays.llm.urls import SUFFIXES
+
 _DOCUMENTS = r"""numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM numbered)"""
 
@@ -48,6 +50,17 @@ def _level(name: str, groups: str) -> str:
   SELECT g.*, strength, (strength * parent + good) / (strength + n) AS rate FROM {name}_groups g, {name}_prior)"""
 
 
+_LISTED = ", ".join(f"'{suffix}'" for suffix in SUFFIXES)
+
+
+def _named(host: str) -> str:
+    """Registered domain and suffix of a host."""
+    two = rf"regexp_extract({host}, '([^.]*\.)?[^.]*$')"
+    three = rf"regexp_extract({host}, '([^.]*\.)?([^.]*\.)?[^.]*$')"
+    return f"""CASE WHEN {two} IN ({_LISTED}) THEN {three} ELSE {two} END AS domain,
+         CASE WHEN {two} IN ({_LISTED}) THEN {two} ELSE regexp_extract({host}, '[^.]*$') END AS suffix"""
+
+
 _SUFFIXES = """SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(rate) AS parent FROM counted, everything GROUP BY suffix"""
 _DOMAINS = """SELECT c.suffix, domain, sum(c.n) AS n, sum(c.good) AS good, any_value(rate) AS parent
   FROM counted c JOIN suffix_rates s ON s.suffix = c.suffix GROUP BY c.suffix, domain"""
@@ -63,17 +76,21 @@ split AS (
 outcomes AS (
   SELECT host, cast(quality = 1 AND toxic = 0 AS integer) AS good FROM split JOIN labels ON doc_id = page_id),
 counted AS (
-  SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix,
+  SELECT host, {_named("host")},
          cast(count(*) AS double) AS n, cast(sum(good) AS double) AS good
   FROM outcomes WHERE good IS NOT NULL AND host <> '' GROUP BY host),
 everything AS (SELECT (coalesce(sum(good), 0.0) + 1) / (coalesce(sum(n), 0.0) + 2) AS rate FROM counted),
 {_level("suffix", _SUFFIXES)},
 {_level("domain", _DOMAINS)},
 {_level("host", _HOSTS)},
-posterior AS (
-  SELECT host, rate, strength * parent + good AS a, strength * (1 - parent) + n - good AS b FROM host_rates),
-bounds AS (
-  SELECT host, least(rate + 1.645 * sqrt(a * b / (power(a + b, 2) * (a + b + 1))), 1.0) AS bound FROM posterior),
+named AS (SELECT page_id, host, path, {_named("host")} FROM split),
+rated AS (
+  SELECT page_id, s.host, s.path, coalesce(h.rate, d.rate, x.rate, e.rate) AS rate,
+         CASE WHEN h.host IS NOT NULL THEN h.strength + h.n WHEN d.domain IS NOT NULL THEN hp.strength
+              WHEN x.suffix IS NOT NULL THEN dp.strength ELSE sp.strength END AS total
+  FROM named s LEFT JOIN host_rates h ON h.host = s.host LEFT JOIN domain_rates d ON d.domain = s.domain
+       LEFT JOIN suffix_rates x ON x.suffix = s.suffix, everything e, host_prior hp, domain_prior dp, suffix_prior sp),
+bounds AS (SELECT *, least(rate + 1.645 * sqrt(rate * (1 - rate) / (total + 1)), 1.0) AS bound FROM rated),
 rules(verdict, rule_host, rule_path) AS (
   VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
          ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
@@ -82,6 +99,6 @@ fitting AS (
          arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule
   FROM split s JOIN rules r ON (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)
   GROUP BY page_id)
-SELECT s.page_id, s.host, s.path, f.rule,
+SELECT b.page_id, b.host, b.path, f.rule,
        coalesce(f.verdict, CASE WHEN b.bound < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM split s LEFT JOIN fitting f USING (page_id) LEFT JOIN bounds b ON b.host = s.host"""
+FROM bounds b LEFT JOIN fitting f USING (page_id)"""

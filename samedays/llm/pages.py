@@ -3,15 +3,19 @@
 The tags of a page become a tree of block elements. Each paragraph scores points for its length and its commas;
 they go to its parent, half of them to the grandparent, a third to the next, and each container's points are
 discounted by the share of its text that stands in links. The best container and those of its siblings that score
-too, or read like a paragraph, are kept; if the best lies in an `article` or `main`, all of that is.
+too, or read like a paragraph, are kept; if the best lies in an `article` or `main`, all of that is, and all of a `main`
+or `article` around it that has another article which scores.
 
 Before that, what is never article text goes: scripts, styles, navigation, headers, footers, sidebars, notices,
-adverts, forms, reader comments (by element, ARIA role or the words of class and id), hidden elements, and lists that
-are mostly links.
+adverts, forms, reader comments (by element, ARIA role or the words of class and id), and hidden elements. Some of those
+words mean other things as well (`share`, `legal`, `header`): a name with one of them counts only if its other words say
+nothing else, so `share-buttons` goes and `market-share` stays. Lists and tables that are mostly links have no part in the
+choice of the container, but stay where they lie inside it.
 
-Each page is handled by itself, in batches; nothing is shuffled.
+Each page is handled by itself, in batches, in time in proportion to its length; nothing is shuffled.
 
-Defined results: null and empty html give the empty text. Broken markup is read as a browser would in the common
+Defined results: null and empty html give the empty text. Repeated rows give repeated rows, an empty table none, and
+other columns may have any name. Broken markup is read as a browser would in the common
 cases: unclosed elements end with their parent, raw text ends at its own end tag or the end of the page. Text of any
 length is kept whole.
 """
@@ -42,6 +46,12 @@ DROPPED_WORDS = frozenset(
     "commentlist disqus respond replies reply related recommended recommendations pagination pager toolbar widget widgets "
     "skip copyright legal disclaimer form search".split()
 )
+#: Words among them that mean other things too, and words that may stand beside one of those.
+AMBIGUOUS_WORDS = frozenset("share sharing social legal notice notices header footer banner form search copyright disclaimer alert skip reply aside".split())
+PLAIN_WORDS = frozenset(
+    "bar box block button buttons link links list section container wrapper wrap area site page global top bottom left right main item items "
+    "icons icon inner outer row col content holder panel group js fixed sticky mobile desktop primary secondary".split()
+)
 #: Start tags that end an open paragraph; others that end an open element of their own kind.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -73,15 +83,26 @@ MENU_SHARE, SIBLING_SHARE = 0.6, 0.2
 
 
 class Node:
-    """A block element: parts are texts (str), line breaks (None) and child nodes, in page order."""
+    """A block element, or a dropped inline one: parts are texts (str), line breaks (None) and child nodes, in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "dropped", "points", "chars", "linked", "links", "holds")
+    __slots__ = ("tag", "parent", "parts", "dropped", "menu", "points", "chars", "linked", "links", "holds", "nested")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.parts: list = []
         self.points, self.chars, self.linked, self.links = 0.0, 0, 0, 0
         self.holds = tag in ARTICLES  # itself or below an article
+        self.menu = False  # a list or table that is mostly links
+        self.nested = 0  # open elements of the same name inside a dropped inline one
+
+
+def _is_named_away(value: str) -> bool:
+    """Whether one of the names in a class or id says that an element is no part of the article."""
+    for name in value.split():
+        words = frozenset(_WORD.findall(name))
+        if not words.isdisjoint(DROPPED_WORDS) and (words & DROPPED_WORDS - AMBIGUOUS_WORDS or words <= DROPPED_WORDS | PLAIN_WORDS):
+            return True
+    return False
 
 
 def _is_dropped(tag: str, attributes: str) -> bool:
@@ -97,7 +118,7 @@ def _is_dropped(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value.strip() in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", *ARTICLES) and not DROPPED_WORDS.isdisjoint(_WORD.findall(value)):
+        if name in ("class", "id") and tag not in ("html", "body", *ARTICLES) and _is_named_away(value):
             return True
     return False
 
@@ -147,6 +168,9 @@ def parse(page: str) -> Node:
                 link = 0
             elif name == "br":
                 node.parts.append(None)
+            elif name in INLINE:
+                if node.tag == name:  # a dropped one
+                    node, node.nested = (node, node.nested - 1) if node.nested else (close(node), 0)
             elif name not in INLINE and name not in VOID:
                 up = node
                 while up is not root and up.tag != name:
@@ -169,14 +193,19 @@ def parse(page: str) -> Node:
         if name in INLINE:
             if name == "a":
                 link, node.links = 1, node.links + 1
-            elif _is_dropped(name, tag["attributes"]) and (stop := re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)):
-                if "<" not in page[at : stop.start()]:  # a dropped run of text
-                    at = stop.end()
+            elif node.tag == name:
+                node.nested += 1
+            elif node.tag not in INLINE and _is_dropped(name, tag["attributes"]):
+                child = Node(name, node, True)
+                node.parts.append(child)
+                node = child
             continue
         if name in ("html", "body", "head"):
             continue
-        if name in ENDS_PARAGRAPH and node.tag == "p":
-            node, link = close(node), 0
+        if name in ENDS_PARAGRAPH:
+            block = node.parent if node.tag in INLINE else node  # a dropped inline element ends with its paragraph
+            if block.tag == "p":
+                node, link = close(block), 0
         if name in ENDS_OWN:
             up = node
             while up is not root and up.tag not in ENDS_OWN[name] and up.tag not in SCOPES:
@@ -215,7 +244,7 @@ def _blocks(node: Node, allowed: set[int]) -> Iterator[str]:
         for part in open_parts[-1]:
             if isinstance(part, str):
                 held.append(part)
-            else:
+            elif part is None or part.tag not in INLINE:
                 yield "".join(held)
                 held = []
                 if part is not None and id(part) in allowed:
@@ -227,6 +256,19 @@ def _blocks(node: Node, allowed: set[int]) -> Iterator[str]:
             held = []
 
 
+def _scoring_articles(outer: Node, floor: float, density: dict[int, float]) -> int:
+    """Articles right below a node, at any depth but not inside each other, that score and are not mostly links."""
+    many, open_nodes = 0, [outer]
+    while open_nodes:
+        for part in open_nodes.pop().parts:
+            if isinstance(part, Node) and id(part) in density:
+                if part.tag in ARTICLES:
+                    many += part.points >= floor and density[id(part)] < 0.3
+                elif part.holds:
+                    open_nodes.append(part)
+    return many
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by one space."""
     if not page:
@@ -241,16 +283,17 @@ def main_text(page: str | None) -> str:
         linked[key] = linked.get(key, 0) + node.linked
         links[key] = links.get(key, 0) + node.links
         if node.tag in ("ul", "ol", "dl", "table") and links[key] > 1 and linked[key] > MENU_SHARE * chars[key]:
-            node.dropped = True
+            node.menu = True
             chars[key] = linked[key] = links[key] = 0
         if node.parent is not None:
             up = id(node.parent)
             for total in (chars, linked, links):
                 total[up] = total.get(up, 0) + total[key]
-    nodes = _walk(root)
     for node in nodes:
+        if node.parent is not None and node.parent.menu:
+            node.menu = True
         own = " ".join(p for p in node.parts if isinstance(p, str)).strip()
-        if not own:
+        if not own or node.menu:
             continue
         points = 1 + own.count(",") + own.count("、") + min(len(own) / 100, 10)
         points *= 1 - node.linked / max(node.chars, 1)
@@ -263,6 +306,12 @@ def main_text(page: str | None) -> str:
     up = best
     while up is not None and up.tag not in ARTICLES:
         up = up.parent
+    # a main with several articles is one text; so is an article of articles
+    outer = up
+    while up is not None and outer is not None:
+        outer = outer.parent
+        if outer is not None and outer.tag in ARTICLES and _scoring_articles(outer, SIBLING_SHARE * best.points, density) > 1:
+            up = outer
     kept = [up or best]
     if up is None and best.parent is not None:
         floor = SIBLING_SHARE * best.points
@@ -271,6 +320,7 @@ def main_text(page: str | None) -> str:
             for n in best.parent.parts
             if isinstance(n, Node)
             and id(n) in density
+            and not n.menu
             and (n is best or (density[id(n)] < 0.3 and (n.points >= floor or n.tag in PARAGRAPHS or re.fullmatch("h[1-6]", n.tag))))
         ]
     allowed = {id(n) for n in nodes}

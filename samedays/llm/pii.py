@@ -8,7 +8,11 @@ Decoding is Viterbi in numpy over batches of lines, a word of every line at a ti
 best labels are proven to be none throughout: where no word has a label that beats none even with the best transitions
 into and out of it. Each text is handled whole where it is read; nothing is shuffled.
 
-Defined results: null and empty texts have no spans. Repeated rows give repeated rows.
+Features see the first 64 characters of a word, 20 signs of its shape and 8 of its other signs; labels, spans and the
+patterns see all of it. Patterns take time in proportion to the text, whatever runs of characters it has.
+
+Defined results: null and empty texts have no spans. Repeated rows give repeated rows, and an empty table none. Only
+the columns of ids and texts are read; others may have any name.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# the same matches as IP: one that starts inside a run of digits has the run's start to start from
+_IP_AT_RUN = re.compile(r"(?<![0-9])" + IP.pattern)
 _DIGIT, _NOT_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]")
 
 #: The labelled table: text in brackets has the kind that it begins with. Own sentences, with reserved numbers and names.
@@ -100,6 +108,7 @@ _CUES = {
 }
 _TOKEN = re.compile(r"\S+")
 _PLAIN = re.compile(r"[^\W\d_]+[.,;:!?]*|[.,;:!?]+")
+_MARKED = re.compile(r"\[(email|ip|card|phone) ((?:\[at\]|[^\]])*)\]")
 _LINE = re.compile(r"[^\n]+")
 _EDGES = " \t.,;:!?\"'<>"
 
@@ -110,8 +119,15 @@ def shape(word: str) -> str:
     return re.sub(r"(.)\1{2,}", r"\1\1", drawn)
 
 
-@lru_cache(maxsize=100_000)
+#: Characters of a word up to which its features are kept for the next time.
+KEPT_WORD = 256
+
+
 def _own_features(word: str) -> tuple[str, ...]:
+    return _kept_features(word) if len(word) <= KEPT_WORD else _made_features(word)
+
+
+def _made_features(word: str) -> tuple[str, ...]:
     if _PLAIN.fullmatch(word):
         return ("plain", "cue=" + _CUES.get(word.lower().rstrip(".,;:!?"), "no"))
     digits = sum(c.isdigit() for c in word)
@@ -128,6 +144,9 @@ def _own_features(word: str) -> tuple[str, ...]:
     )
 
 
+_kept_features = lru_cache(maxsize=100_000)(_made_features)
+
+
 def features(words: list[str]) -> list[list[str]]:
     """Features of each word: its own, and the cues and digits of its neighbours."""
     own = [_own_features(w) for w in words]
@@ -144,14 +163,20 @@ def features(words: list[str]) -> list[list[str]]:
 
 
 def _labelled_lines() -> list[tuple[list[str], list[int]]]:
+    """Words and labels of the table: the words that decoding makes of its plain lines, labelled by their places."""
     lines = []
     for line in LABELLED.strip().splitlines():
+        plain, spans, done = "", [], 0
+        for marked in _MARKED.finditer(line):
+            plain += line[done : marked.start()]
+            spans.append((len(plain), len(plain) + len(marked[2]), LABELS.index(marked[1])))
+            plain += marked[2]
+            done = marked.end()
+        plain += line[done:]
         words, labels = [], []
-        for part in re.findall(r"\[(?:email|ip|card|phone) (?:\[at\]|[^\]])*\]|\S+", line):
-            marked = re.fullmatch(r"\[(email|ip|card|phone) (.*)\]", part)
-            found = marked[2].split() if marked else [part]
-            words += found
-            labels += [LABELS.index(marked[1]) if marked else 0] * len(found)
+        for m in _TOKEN.finditer(plain):
+            words.append(m.group())
+            labels.append(next((label for start, end, label in spans if start < m.end() and m.start() < end), 0))
         lines.append((words, labels))
     return lines
 
@@ -269,7 +294,9 @@ class Filter(dict):
         return self.kinds[own]
 
     def __missing__(self, word: str) -> int:
-        self[word] = kind = self._kind(_own_features(word))
+        kind = self._kind(_own_features(word))
+        if len(word) <= KEPT_WORD:
+            self[word] = kind
         return kind
 
     def suspects(self, lines: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -306,14 +333,29 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the matches of EMAIL, found from their signs, so that long runs without one cost nothing."""
+    low = 0
+    at = text.find("@")
+    while at >= 0:
+        before = text[low:at]
+        local = len(before) - len(before.rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at) if local else None
+        if domain:
+            yield at - local, domain.end()
+        # the next match may start where this one ends; a sign is no part of a local name
+        low = domain.end() if domain else at + 1
+        at = text.find("@", low)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the patterns' matches that pass their checks, sorted."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(start, 0, end) for start, end in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
-            for m in IP.finditer(text):
+            for m in _IP_AT_RUN.finditer(text):
                 if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m.group().split(".")):
                     out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):

@@ -33,6 +33,8 @@ SEED = 42
 SHINGLE, RADIUS = 4, 4
 #: Fingerprints in a shard before it is cut by a second block.
 MAX_SHARD = 2048
+#: Copies of the list of components in its join: a large one's fingerprints go to as many tasks.
+SALTS = 16
 #: Pairs of query and node that a search holds at once.
 FRONTIER = 2_000_000
 
@@ -241,9 +243,16 @@ def near_duplicates(
     marked = scratch.keep(fingerprints(documents, doc_id, text, shingle, carry))
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = connected_components(links(nodes.select("fp"), radius, max_shard), scratch)
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return marked.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+    # only linked fingerprints look for their component; a large one is a hot key, so both sides are salted
+    tied = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    lowest = tied.join(nodes, tied.node == nodes.fp).groupBy("root").agg(F.min("low").alias("component_id"))
+    listed = lowest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = tied.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    placed = salted.join(listed, ["root", "salt"]).select("node", "root", "component_id")
+    rooted = nodes.join(placed, nodes.fp == placed.node, "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id")
+    )
+    return marked.join(rooted, "fp")
 
 
 def hex_fingerprint(fp):

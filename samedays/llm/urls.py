@@ -4,6 +4,11 @@ Labelled pages vote on their host. A host's rate of good pages is shrunk to that
 that of its suffix, this to the rate of all pages: at each level a beta prior is centred at the parent's posterior
 mean, and its strength (pseudo-counts) is fitted over all labelled groups of the level by the method of moments.
 A page is blocked if the upper posterior bound of its host's rate is below `min_good`; explicit rules go before.
+A host without labels has the prior of its nearest labelled level as its posterior: the rate of its registered domain,
+else of its suffix, else of all pages, with the strength fitted for the groups below that level.
+
+The suffix of a host is its last label, or its last two where a table lists them (`SUFFIXES`, a parameter); the
+registered domain is one label more.
 
 Everything is a DataFrame expression. Labelled outcomes are counted map-side before any shuffle; the reputations
 are joined back by host, and a hot host is one row on that side, which Spark splits or broadcasts by size.
@@ -30,6 +35,12 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+#: Suffixes of two labels under which names are registered: a short list of common ones; pass a fuller one if it matters.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "com.au", "net.au", "org.au", "edu.au", "co.nz", "org.nz", "co.jp", "ne.jp", "or.jp",
+    "ac.jp", "com.br", "org.br", "com.cn", "org.cn", "com.hk", "com.tw", "com.sg", "com.my", "co.in", "org.in", "co.kr", "or.kr",
+    "co.za", "org.za", "com.mx", "com.ar", "com.co", "com.pe", "com.tr", "com.ua", "co.il", "com.eg", "com.sa", "co.id", "co.th",
+)
 #: Bounds for the fitted strength of a prior, in pseudo-counts.
 STRENGTH = (1.0, 1000.0)
 
@@ -55,13 +66,16 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return best
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels of a host, the whole host if it has fewer."""
-    return F.substring_index(host, ".", -2)
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The last two labels of a host if they are listed, else the last one."""
+    last_two = F.substring_index(host, ".", -2)
+    return F.when(last_two.isin(list(suffixes)), last_two).otherwise(F.substring_index(host, ".", -1))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def registered_domain(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The suffix of a host and the label before it; the whole host if it has no more."""
+    last_two = F.substring_index(host, ".", -2)
+    return F.when(last_two.isin(list(suffixes)), F.substring_index(host, ".", -3)).otherwise(last_two)
 
 
 def _shrunk(groups: DataFrame, level: str) -> DataFrame:
@@ -83,7 +97,7 @@ def _shrunk(groups: DataFrame, level: str) -> DataFrame:
     return shrunk.withColumn("rate", rate).withColumnRenamed("strength", f"{level}_strength")
 
 
-def host_reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
+def host_reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> dict[str, DataFrame]:
     """Shrunk rates by level from rows (host, good): good is 1 or 0, or null if not known.
 
     Keys: `all` (one row: rate), `suffix`, `domain`, `host` (name, rate, n, good, strength columns). Each level is
@@ -94,19 +108,19 @@ def host_reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
         outcomes.filter(F.col("good").isNotNull() & (F.col("host") != ""))
         .groupBy("host")
         .agg(F.count("*").cast("double").alias("n"), F.sum("good").cast("double").alias("good"))
-        .withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix_of(F.col("host"))})
+        .withColumns({"domain": registered_domain(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
     )
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     # a uniform prior keeps the rate inside (0, 1) whatever the labels are
     prior = (F.coalesce(F.sum("good"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)
     everything = scratch.keep(counted.agg(prior.alias("parent_rate")))
-    suffixes = scratch.keep(_shrunk(counted.groupBy("suffix").agg(*sums).join(F.broadcast(everything)), "suffix"))
+    by_suffix = scratch.keep(_shrunk(counted.groupBy("suffix").agg(*sums).join(F.broadcast(everything)), "suffix"))
     domains = counted.groupBy("suffix", "domain").agg(*sums)
-    domains = scratch.keep(_shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("parent_rate")), "suffix"), "domain"))
+    domains = scratch.keep(_shrunk(domains.join(by_suffix.select("suffix", F.col("rate").alias("parent_rate")), "suffix"), "domain"))
     hosts = counted.select("host", "domain", "n", "good").join(domains.select("domain", F.col("rate").alias("parent_rate")), "domain")
     return {
         "all": everything.withColumnRenamed("parent_rate", "rate"),
-        "suffix": suffixes,
+        "suffix": by_suffix,
         "domain": domains,
         "host": scratch.keep(_shrunk(hosts, "host")),
     }
@@ -119,37 +133,49 @@ def judge_urls(
     rules: Sequence[tuple[str, str, str]] = RULES,
     min_good: float = 0.5,
     z: float = 1.645,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """The pages with host, path, rule, verdict, and the reputation behind it (`good_rate`, `good_bound`).
 
     `outcomes` has rows (host, good). `good_bound` is the upper posterior bound: mean + z standard deviations of
-    the host's beta posterior. A host without labels has no posterior of its own and takes the nearest labelled
-    level's mean as rate and 1 as bound, so it is not blocked.
+    the host's beta posterior.
     """
-    levels = host_reputation(outcomes)
-    a = F.col("host_strength") * F.col("parent_rate") + F.col("good")
-    b = F.col("host_strength") * (1 - F.col("parent_rate")) + F.col("n") - F.col("good")
-    spread = F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
-    hosts = levels["host"].select(
-        F.col("host").alias("_host"), F.col("rate").alias("_host_rate"), F.least(F.col("rate") + z * spread, F.lit(1.0)).alias("_bound")
-    )
+    levels = host_reputation(outcomes, suffixes)
+
+    def strength(level: str) -> DataFrame:
+        """One row: the strength fitted for the groups of a level, the greatest without any."""
+        return levels[level].agg(F.coalesce(F.max(f"{level}_strength"), F.lit(STRENGTH[1])).alias(f"_{level}_strength"))
+
+    def bound(mean: Column, total: Column) -> Column:
+        return F.least(mean + z * F.sqrt(mean * (1 - mean) / (total + 1)), F.lit(1.0))
+
+    hosts = levels["host"].select(F.col("host").alias("_host"), F.col("rate").alias("_host_rate"), F.col("n").alias("_n"))
     domains = levels["domain"].select(F.col("domain").alias("_domain"), F.col("rate").alias("_domain_rate"))
-    suffixes = levels["suffix"].select(F.col("suffix").alias("_suffix"), F.col("rate").alias("_suffix_rate"))
+    by_suffix = levels["suffix"].select(F.col("suffix").alias("_suffix"), F.col("rate").alias("_suffix_rate"))
     judged = split_url(pages, url)
     rated = (
         judged.join(hosts, judged.host == hosts._host, "left")
-        .join(domains, registered_domain(judged.host) == domains._domain, "left")
-        .join(suffixes, suffix_of(judged.host) == suffixes._suffix, "left")
+        .join(domains, registered_domain(judged.host, suffixes) == domains._domain, "left")
+        .join(by_suffix, suffix_of(judged.host, suffixes) == by_suffix._suffix, "left")
         .join(F.broadcast(levels["all"].select(F.col("rate").alias("_rate"))))
     )
-    ruled = rated.withColumns(
+    for level in ("suffix", "domain", "host"):
+        rated = rated.join(F.broadcast(strength(level)))
+    total = (
+        F.when(F.col("_host").isNotNull(), F.col("_host_strength") + F.col("_n"))
+        .when(F.col("_domain").isNotNull(), F.col("_host_strength"))
+        .when(F.col("_suffix").isNotNull(), F.col("_domain_strength"))
+        .otherwise(F.col("_suffix_strength"))
+    )
+    shrunk = rated.withColumns(
         {
             "good_rate": F.coalesce("_host_rate", "_domain_rate", "_suffix_rate", "_rate"),
-            "good_bound": F.coalesce("_bound", F.lit(1.0)),
+            "_total": total,
             "_ruled": rule_for(F.col("host"), F.col("path"), rules),
         }
-    )
+    ).withColumn("good_bound", bound(F.col("good_rate"), F.col("_total")))
     method = F.when(F.col("good_bound") < min_good, F.lit("block")).otherwise(F.lit("allow"))
-    return ruled.withColumns({"rule": F.col("_ruled.rule"), "verdict": F.coalesce(F.col("_ruled.verdict"), method)}).drop(
-        "_ruled", "_host", "_host_rate", "_bound", "_domain", "_domain_rate", "_suffix", "_suffix_rate", "_rate"
-    )
+    return shrunk.withColumns({"rule": F.col("_ruled.rule"), "verdict": F.coalesce(F.col("_ruled.verdict"), method)}).drop(
+        "_ruled", "_host", "_host_rate", "_n", "_domain", "_domain_rate", "_suffix", "_suffix_rate", "_rate", "_total",
+        *(f"_{level}_strength" for level in ("suffix", "domain", "host")),
+    )

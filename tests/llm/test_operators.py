@@ -88,6 +88,48 @@ def test_bpe_equals_the_tokenizer(documents, rows, nothing):
     assert bpe.encode(nothing, TOKENIZER, digests=True).count() == 0
 
 
+def test_bpe_words_without_ids(spark):
+    """White space beyond ASCII alone is a word here, and has no ids; it leaves no blank behind."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    signs = ["\u00a0", "\u2003", "\u2028", "\u3000", "\u0085"]
+    texts = [*(f"a {s} b" for s in signs), " ".join(signs), f"\u00a0 start", "end \u3000", f"one{signs[0]}word {signs[1]}{signs[2]} x"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for frequent in (0, 100):
+        made = {r.doc_id: r for r in bpe.encode(frame, TOKENIZER, frequent=frequent).collect()}
+        for i, text in enumerate(texts):
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            assert made[i].n_tokens == len(ids) and made[i].ids == b"".join(n.to_bytes(4, "little") for n in ids)
+            assert made[i].decoded == tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def test_bpe_repeated_rows_ask_once(spark):
+    """A text that stands there 2,000 times takes little more than as many texts with ids of their own."""
+    from time import perf_counter
+
+    text = " ".join(f"w{i}x{i * 7}" for i in range(300))
+
+    def seconds(rows):
+        started = perf_counter()
+        made = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, frequent=0, digests=True).collect()
+        assert len(made) == len(rows) and len({r.ids_sha256 for r in made}) == 1
+        return perf_counter() - started
+
+    own = seconds([(i, text) for i in range(2000)])
+    assert seconds([(None, text)] * 1000 + [(7, text)] * 1000) < 2 * own + 3
+
+
+def test_bpe_long_words_that_are_frequent_do_not_meet(spark):
+    rule = "-" * 80
+    rows = [(i, f"{rule} word{i} {rule} {'=' * 70_000 if i < 2 else ''}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = dict(bpe.frequent_words(frame, TOKENIZER, "text", 1000))
+    assert rule in known and "=" * 70_000 not in known
+    made = bpe.decode(bpe.encode(frame, TOKENIZER).select("doc_id", "ids", F.col("decoded").alias("want")), TOKENIZER)
+    assert made.filter("want != decoded").count() == 0 and made.count() == 60
+
+
 def test_bpe_round_trip(documents):
     made = bpe.encode(documents, TOKENIZER)
     again = bpe.decode(made.select("doc_id", "ids", F.col("decoded").alias("want")), TOKENIZER)
@@ -234,6 +276,29 @@ def test_pii(spark):
             assert {(text[s:e], pii.KINDS[k]) for s, k, e in spans} == {("555-010-7777", "phone"), ("carla(at)example.org", "email")}
 
 
+def test_pii_patterns_are_linear_and_the_same():
+    """Long runs that never become a match, and random texts of the patterns' own characters."""
+    from time import perf_counter
+
+    for run in ("a" * 1_000_000 + " @", "1" * 1_000_000 + " .", "1." * 300_000, "a@" * 300_000, "%" * 500_000 + "@", "1" * 500_000 + ".1.1", "+" + "1 " * 400_000):
+        started = perf_counter()
+        pii.base_spans(run)
+        assert perf_counter() - started < 1, run[:5]
+    rng = random.Random(8)
+    for signs in ("a.@-_", "12.", "1.2@a", "a@b.c_d@e.f +(1) 9"):
+        for _ in range(3000):
+            text = "".join(rng.choice(signs) for _ in range(rng.randrange(24)))
+            assert pii.base_spans(text) == brute_pii(text), text
+
+
+def test_pii_words_of_the_labelled_table_are_the_decoders(spark):
+    for (words, labels), line in zip(pii._labelled_lines(), pii.LABELLED.strip().splitlines(), strict=True):
+        plain = re.sub(r"\[(email|ip|card|phone) ((?:\[at\]|[^\]])*)\]", r"\2", line)
+        assert words == pii._TOKEN.findall(plain) and any(labels) == (plain != line)
+    frame = spark.createDataFrame([(1, "call 555-010-2299 , please", 5)], "doc_id long, text string, spans int").withColumn("base", F.lit(1))
+    assert pii.find_pii(frame.limit(0)).count() == 0 and len(pii.find_pii(frame).first().spans) == 1
+
+
 def test_pii_field_on_held_out_lines():
     field = pii.train()
     held_out = {
@@ -403,6 +468,48 @@ def test_decontamination_equals_the_check_on_every_passage(spark):
     assert {(r.doc_id, r.item_id) for r in made} == want and len(made) == len(want)
 
 
+def test_recall_of_the_cosine_stage(spark):
+    """How many of the contaminated pairs the latent search alone would have made candidates; the lookup finds the rest."""
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(1500)]
+    common = ["the", "of", "and", "to"]
+
+    def text(k):
+        return [rng.choice(common) if rng.random() < 0.4 else rng.choice(vocabulary) for _ in range(k)]
+
+    items = [text(rng.randint(15, 45)) for _ in range(60)]
+    docs = []
+    for i in range(360):
+        copy = list(items[i % 60])
+        if i % 3:  # up to a fifth of its words replaced
+            for k in rng.sample(range(len(copy) - decontaminate.ANSWER), len(copy) // 5):
+                copy[k] = rng.choice(vocabulary)
+        docs.append((i, " ".join([*text(rng.randint(0, 120)), *copy, *text(rng.randint(0, 120))])))
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(items)], "item_id long, text string")
+    made = {(r.doc_id, r.item_id): r.cosine for r in decontaminate.contaminated(left, right).collect()}
+    assert all((i, i % 60) in made for i in range(360))
+    recall = sum(made[i, i % 60] >= decontaminate.COSINE for i in range(360)) / 360
+    print(f"recall of the cosine stage: {recall:.3f}")
+    assert recall >= 0.9
+
+
+def test_short_items_are_searched_like_others(spark):
+    """A copy of six words with one between them, and one with a word changed; the same words far apart are nothing."""
+    item = "seven purple otters juggle warm lanterns"
+    docs = [(1, "we saw seven purple otters quietly juggle warm lanterns there"), (2, "seven purple otters juggle cold lanterns"), (3, "seven purple " + "x " * 90 + "otters " + "x " * 90 + "juggle")]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame([(4, item), (5, "one")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(left, right).collect()} == {(1, 4), (2, 4)}
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(1, "nothing here", 7, "k"), (2, "three short words", 8, "r")], "doc_id long, text string, `key` int, `row` string")
+    benchmark = spark.createDataFrame([(1, "three short words")], "item_id long, text string")
+    kept = decontaminate.clean(frame, benchmark)
+    assert kept.columns == frame.columns and [tuple(r) for r in kept.collect()] == [(1, "nothing here", 7, "k")]
+
+
 def test_decontamination_by_a_given_answer(spark):
     """A paraphrase whose answer stands beside it and has words that no item has."""
     item, answer = "which of the two rivers that leave the northern lake is the longer one", "the zembra"

@@ -11,6 +11,7 @@ import duckdb
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from samedays.llm.queries import ORACLE_SQL, QUERIES
@@ -109,3 +110,15 @@ def test_pipeline_stages_on_awkward_rows(spark):
         assert empty.count() == 0
         if stage is not corpus_pipeline.tokens:
             assert empty.columns == docs.columns
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """The columns of `documents` beside others that bear names of the operators' own."""
+    plain = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    names = ("_key", "row_key", "failed", "n_words", "fp", "root", "column_0", "_secrets", "row")
+    docs = plain.select("*", *[F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")).alias(name) for name in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF_DIR)
+        assert kept.columns == docs.columns, name
+        for row in kept.collect():
+            assert all(row[n] == f"{n} {row.doc_id}" for n in names), name
