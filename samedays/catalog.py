@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samedays.functions import grid, text
-from samedays.operators.observations import daily_location_counts, daily_locations, day_cells, observations
+from samedays.functions.shared import fresh_path
+from samedays.operators.observations import daily_location_counts, daily_locations, day_cells, observations, store_split
 from samedays.operators.pairing import enumerate_pairs, pair_days_by_date, pair_stats
 from samedays.operators.ranking import rank_pairs, ranked_pairs, tied_winners, top_pairs
 from samedays.operators.replication import replicate
@@ -32,6 +33,7 @@ from samedays.operators.scaling import (
     weak_missing_baseline,
 )
 from samedays.plans.scaling_tables import summarize
+from samedays.sources.metrics import upsert_results
 from samedays.sources.report import solution_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,12 +164,36 @@ def log_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _old_and_new_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     metrics = run_metrics(spark, sf_dir)
     old = _result_rows(metrics, ["Solver1", "Solver2", "Solver3", "Solver4"], F.min)
     new = _result_rows(metrics, ["Solver2", "Solver3", "Solver4", "Solver5"], F.max)
     failed = F.when(F.col("solver") != "Solver3", F.col("time_p3x"))
-    return results_upsert(old, new.withColumn("time_p3x", failed))
+    return old, new.withColumn("time_p3x", failed)
+
+
+def upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results_upsert(*_old_and_new_results(spark, sf_dir))
+
+
+def upsert_in_place_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a table on disk that the second write replaces."""
+    path = fresh_path(spark, "results")
+    old, new = _old_and_new_results(spark, sf_dir)
+    upsert_results(old, path)
+    return upsert_results(new, path)
+
+
+def rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which some have no date and some a coordinate that is no number, split in one scan and counted by day."""
+    events = place_events(spark, sf_dir).select(
+        F.expr("CASE WHEN latitude <> 12.5 THEN date END").alias("date"),
+        F.col("latitude").cast("string").alias("latitude"),
+        F.expr("if(longitude > 170, 'east', cast(longitude AS string))").alias("longitude"),
+    )
+    usable, rejected = store_split(events, fresh_path(spark, "events"))
+    days = usable.select("date", F.lit("usable").alias("status")).unionAll(rejected.select(grid.day_key("date"), F.lit("rejected")))
+    return days.groupBy("date", "status").agg(F.count("*").alias("n"))
 
 
 def merged_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +212,9 @@ QUERIES: dict[str, Query] = {
     "location_days": lambda s, d: daily_locations(place_observations(s, d)),
     "canonical_pairs": canonical_pairs_query,
     "pair_days": lambda s, d: pair_days_by_date(place_observations(s, d)),
-    "pair_stats": lambda s, d: _joined_times(pair_stats(place_observations(s, d))),
+    # most cells of these tables meet
+    "pair_stats": lambda s, d: _joined_times(pair_stats(place_observations(s, d), "histories")),
+    "pair_stats_by_day": lambda s, d: _joined_times(pair_stats(place_observations(s, d))),
     "top_pair": _top("count_first"),
     "top_pair_join": _top("join"),
     "top_pair_array": _top("array"),
@@ -212,6 +240,8 @@ QUERIES: dict[str, Query] = {
     "log_elapsed": log_elapsed_query,
     "log_run_keys": log_keys_query,
     "results_upsert": upsert_query,
+    "results_in_place": upsert_in_place_query,
+    "event_rejects": rejects_query,
 }
 
 
@@ -309,6 +339,7 @@ FROM both_orders GROUP BY 1, 2, 3, 4""",
 SELECT date, count(*) AS n_pairs, {_TENTHS_SQL}
 FROM pairs GROUP BY date""",
     "pair_stats": _stats_sql(),
+    "pair_stats_by_day": _stats_sql(),
     "top_pair": _TOP_SQL,
     "top_pair_join": _TOP_SQL,
     "top_pair_array": _TOP_SQL,
@@ -354,4 +385,9 @@ FROM (SELECT * FROM summary ORDER BY mean_time, workers, solver, partition_multi
     "log_run_keys": """SELECT event_id, 'Solver' || cast(1 + user_id % 5 AS varchar) AS solver,
   cast(2 + event_id % 3 AS integer) AS multiplier, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events""",
     "results_upsert": _upsert_sql(),
+    "results_in_place": _upsert_sql(),
+    "event_rejects": f"""WITH {_EVENTS}, checked AS (
+  SELECT CASE WHEN latitude <> 12.5 THEN substring(date, 1, 10) END AS date,
+         CASE WHEN latitude = 12.5 OR longitude > 170 THEN 'rejected' ELSE 'usable' END AS status FROM quakes)
+SELECT date, status, count(*) AS n FROM checked GROUP BY date, status""",
 }

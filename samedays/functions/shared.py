@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="samedays-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -29,10 +29,18 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder where nothing is yet; what is written there is deleted when the session's process ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+    delete_at_exit(spark, path)
+    return path
+
+
 def kept(frame: DataFrame) -> DataFrame:
     """The same rows, read from a table just written in the shared folder."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    path = f"{fresh_path(spark, 'kept')}/rows"
     frame.write.parquet(path)
-    delete_at_exit(spark, path)
     return spark.read.schema(frame.schema).parquet(path)

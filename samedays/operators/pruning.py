@@ -43,7 +43,8 @@ def support_floor(rows: DataFrame, k: int, block: int = BLOCK, multiplier: int |
     """
     busiest = rows.groupBy("cell").agg(F.sum(F.bit_count("days")).alias("n")).orderBy(F.desc("n"), "cell")
     seeds = busiest.limit(seed_cells(k)).select("cell")
-    counts = count_pairs(enumerate_span_pairs(rows.join(seeds, "cell", "left_semi"), block, multiplier))
+    rows_of_seeds = rows.join(seeds, "cell", "left_semi")
+    counts = count_pairs(enumerate_span_pairs(rows_of_seeds, block, multiplier, cells=seed_cells(k)))
     return kth_best(counts, k)
 
 

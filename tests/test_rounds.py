@@ -10,10 +10,10 @@ from conftest import MICRO, as_tuples, brute_stats, brute_top, random_rows
 from pyspark.sql import functions as F
 
 from samedays import observations, tied_winners, top_pairs
-from samedays.functions.shared import kept
+from samedays.functions.shared import kept, shared_folder
 from samedays.operators.numbering import numbered
 from samedays.operators.observations import cell_spans
-from samedays.operators.pairing import count_pairs, enumerate_span_pairs, listed_days
+from samedays.operators.pairing import coarse_blocks, count_pairs, enumerate_span_pairs, listed_days, unit_places
 from samedays.operators.prefix import candidate_pairs, prefix_counts, prefixes
 from samedays.operators.pruning import kth_best
 from samedays.operators.ranking import ranked_pairs
@@ -121,6 +121,36 @@ def test_a_million_ranks_in_many_tasks(spark):
     assert (made[["n", "a"]].to_numpy() == wanted[["n", "a"]].to_numpy()).all()
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 16, 64, 500])
+def test_units_are_dealt_by_cost(partitions):
+    """Every unit has a task, and the tasks differ by no more than the work of one unit."""
+    coarse = coarse_blocks(partitions)
+    places = unit_places(coarse, partitions)
+    assert len(places) == coarse * (coarse + 1) // 2
+    work = [0] * partitions
+    for hi in range(coarse):
+        for lo in range(hi + 1):
+            work[places[hi * (hi + 1) // 2 + lo]] += 1 if lo == hi else 2
+    assert max(work) - min(work) <= 2 and max(work) <= 1.2 * sum(work) / partitions
+
+
+def test_a_cluster_must_name_the_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_places_within_groups(spark):
     rows = [("x", 5), ("x", 1), (None, 3), (None, 3), ("", 9), ("x", 5), (None, None)]
     made = sorted(map(tuple, numbered(spark.createDataFrame(rows, "g string, v int"), ["v"], within=["g"]).collect()), key=repr)
