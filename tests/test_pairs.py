@@ -72,14 +72,6 @@ def test_top_k_against_brute_force(obs_of, strategy, seed, k):
     assert as_tuples(top_pairs(obs_of(rows), k, strategy, block=10)) == brute_top(rows, k)
 
 
-@pytest.mark.parametrize("block, min_days", [(3, 1), (256, 1), (5, 3)])
-def test_pair_stats_by_histories(obs_of, block, min_days):
-    rows = random_rows(6, days=20, places=70, rows=600, hot_share=0.2)
-    got = {tuple(r[:4]): (r[4], r[5]) for r in pair_stats(obs_of(rows), "histories", block, min_days=min_days).collect()}
-    assert got == {pair: (len(days), days) for pair, days in brute_stats(rows).items() if len(days) >= min_days}
-    assert pair_stats(obs_of([]), "histories").collect() == []
-
-
 def test_k_beyond_the_number_of_pairs(obs_of):
     rows = [("d1", 1.0, 1.0), ("d1", 2.0, 1.0), ("d2", 1.0, 1.0), ("d1", 1.0, 3.0)]
     assert as_tuples(top_pairs(obs_of(rows), 50)) == brute_top(rows, 50)
