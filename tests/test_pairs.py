@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from samedays import observations, pair_days, pair_stats, rank_pairs, replicate, tied_winners, top_pairs
 from samedays.functions import grid, spans
+from samedays.operators import histories
 from samedays.operators.observations import cell_spans, day_cells
 from samedays.operators.pairing import (
     ENUMERATORS,
@@ -254,6 +255,30 @@ def test_min_days(obs_of, min_days):
         pair_days(obs_of(rows), min_days=0)
 
 
+@pytest.mark.parametrize("block, unit_rows, batch_days, min_days", [(2048, 200_000, 1 << 20, 1), (5, 60, 7, 1), (2048, 40, 1, 3)])
+def test_pair_stats_by_histories(obs_of, monkeypatch, block, unit_rows, batch_days, min_days):
+    """Blocks and batches of any size, odd days and days of replicas give what brute force gives; no pair is shuffled."""
+    monkeypatch.setattr(histories, "UNIT_ROWS", unit_rows)
+    monkeypatch.setattr(histories, "BATCH_DAYS", batch_days)
+    rows = random_rows(17, days=70, places=50, rows=900, hot_share=0.2)
+    rows += [(day, p / 10, -p / 10) for day in ("2024-03", "", "2024-01-99", "\u00e4", "2024-01-07-replica-01", "2024-01-??") for p in range(9)]
+    made = pair_stats(obs_of([*rows, *rows[::5]]), block=block, min_days=min_days)
+    got = [(tuple(r[:4]), (r.n_days, r.times)) for r in made.collect()]
+    expected = {pair: (len(days), days) for pair, days in brute_stats(rows).items() if len(days) >= min_days}
+    assert dict(got) == expected and len(got) == len(expected)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" not in plan
+    # the last exchange deals rows to units, before pairs are made of them
+    assert plan.split("== Initial Plan ==")[0].index("MapInArrow") < plan.index("Exchange")
+
+
+def test_pair_stats_without_a_pair(obs_of):
+    assert pair_stats(obs_of([])).collect() == []
+    assert pair_stats(obs_of([("2024-01-01", 1.0, 1.0), ("2024-01-02", 2.0, 1.0), (None, 1.0, 1.0), ("2024-01-01", None, 2.0)])).collect() == []
+    with pytest.raises(ValueError, match="positive"):
+        pair_stats(obs_of([]), min_days=0)
+
+
 def test_pair_days_by_date(obs_of):
     rows = random_rows(14, days=9, places=40, rows=300)
     got = {r.date: tuple(r)[1:] for r in pair_days_by_date(obs_of(rows)).collect()}
