@@ -279,6 +279,30 @@ def test_pair_stats_without_a_pair(obs_of):
         pair_stats(obs_of([]), min_days=0)
 
 
+def test_pair_days_by_date_lists_no_pair(obs_of, spark):
+    """The two days have 1.25 billion pairs, which are summed and not listed; a day of one cell has no row."""
+    places = 50_000
+    day = f"if(id < {places}, '2024-01-01', '2024-01-02') date"
+    hot = spark.range(2 * places).selectExpr(day, f"id % {places} % 300 / 10 lon", f"floor(id % {places} / 300) / 10 - 8 lat")
+    made = pair_days_by_date(hot.unionAll(obs_of([("2024-01-03", 1.0, 1.0), ("2024-01-03", 1.0, 1.0), (None, 1.0, 2.0)])))
+    cells = sorted((p % 300, p // 300 - 80) for p in range(places))
+    sums = [sum(c[k] * (places - 1 - i if end == 0 else i) for i, c in enumerate(cells)) for end in (0, 1) for k in (0, 1)]
+    expected = (places * (places - 1) // 2, *sums)
+    assert {r.date: tuple(r)[1:] for r in made.collect()} == {"2024-01-01": expected, "2024-01-02": expected}
+    assert "explode(" not in made._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("strategy", [None, *ENUMERATORS])
+def test_pair_days_by_date_in_every_form(obs_of, strategy):
+    rows = random_rows(16, days=9, places=70, rows=500, hot_share=0.3)
+    expected: dict = {}
+    for pair, days in brute_stats(rows).items():
+        for day in days:
+            n, *sums = expected.get(day, (0, 0, 0, 0, 0))
+            expected[day] = (n + 1, *(s + round(x * 10) for s, x in zip(sums, pair, strict=True)))
+    assert {r.date: tuple(r)[1:] for r in pair_days_by_date(obs_of(rows), strategy).collect()} == expected
+
+
 def test_pair_days_by_date(obs_of):
     rows = random_rows(14, days=9, places=40, rows=300)
     got = {r.date: tuple(r)[1:] for r in pair_days_by_date(obs_of(rows)).collect()}
