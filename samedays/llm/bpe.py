@@ -24,13 +24,14 @@ give a row each; an empty table gives none. Texts of any length are taken whole.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samedays.llm.common import words
@@ -116,21 +117,20 @@ def frequent_words(documents: DataFrame, path: str, text: str, most: int, sample
 
 
 def answer_words(places: DataFrame, path: str, kind: str) -> DataFrame:
-    """Rows (key, check, place, word) as (key, check, answer); all places of a word meet, and it is encoded once.
+    """Rows (key, place, word) as (key, answer); all places of a word meet, and it is encoded once.
 
     An answer is the place in 2 bytes, or in 4 behind 2 bytes of ones, and the ids.
     """
-    columns = ["key", "check"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple[str, bytes] = ("", b"")
         before: tuple | None = None
         for batch in batches:
             # rows come sorted by word and text; what the same text asked before needs no second answer
-            first = ~batch.duplicated(["word", *columns]).to_numpy()
+            first = ~batch.duplicated(["word", "key"]).to_numpy()
             if len(batch):
-                first[0] &= tuple(batch.iloc[0][["word", *columns]]) != before
-                before = tuple(batch.iloc[-1][["word", *columns]])
+                first[0] &= tuple(batch.iloc[0][["word", "key"]]) != before
+                before = tuple(batch.iloc[-1][["word", "key"]])
             batch = batch[first]
             # the last word of a batch may go on in the next
             number, distinct = pd.factorize(batch["word"])
@@ -143,10 +143,23 @@ def answer_words(places: DataFrame, path: str, kind: str) -> DataFrame:
                 (p.to_bytes(2, "little") if p < _LONG else b"\xff\xff" + p.to_bytes(4, "little")) + table[n]
                 for p, n in zip(batch["place"].tolist(), number.tolist(), strict=True)
             ]
-            yield batch[columns].assign(answer=answers)
+            yield batch[["key"]].assign(answer=answers)
 
-    dealt = places.repartition("word").sortWithinPartitions("word", *columns)
-    return dealt.mapInPandas(run, "`key` long, `check` int, answer binary")
+    dealt = places.repartition("word").sortWithinPartitions("word", "key")
+    return dealt.mapInPandas(run, "`key` long, answer binary")
+
+
+def keyed_texts(source: DataFrame, make: Callable[[int], Column] = lambda seed: F.xxhash64("doc_id", "text", F.lit(seed))) -> DataFrame:
+    """The rows with a `key` of 64 bits that only rows of the same text share.
+
+    Texts are told apart by 96 bits, of which the rows of their words carry 64: of two texts with one key, 32 bits more
+    differ, and then another seed is taken. One row per text is grouped for that.
+    """
+    for seed in count():
+        keyed = source.withColumn("key", make(seed))
+        found = keyed.groupBy("key").agg(F.min(F.hash("text")).alias("low"), F.max(F.hash("text")).alias("high"))
+        if found.where("low <> high").isEmpty():
+            return keyed
 
 
 def _answers(answers: np.ndarray, kind: str) -> dict[int, np.ndarray]:
@@ -215,9 +228,7 @@ def encode(
     pieces = spark.sparkContext.broadcast(pieces_of(path))
     kind = "<u2" if len(pieces.value) <= 1 << 16 else "<u4"
     id_type = source.schema["doc_id"].dataType.simpleString()
-    # 96 bits of hashes of id and text; rows that share them are the same text, and no part is null
-    keyed = source.withColumns({"key": F.xxhash64("doc_id", "text"), "check": F.hash("text")})
-    key = ["key", "check"]
+    keyed = keyed_texts(source)
 
     def code_table() -> dict[bytes, int]:
         return {word.encode(): i for i, (word, _) in enumerate(known.value)}
@@ -228,7 +239,7 @@ def encode(
             rare = [list({w: None for w in t.encode().split() if w not in codes}) for t in batch["text"]]
             many = [len(r) for r in rare]
             at = np.repeat(np.arange(len(batch)), many)
-            found = batch[key].iloc[at].reset_index(drop=True)
+            found = batch[["key"]].iloc[at].reset_index(drop=True)
             place = np.concatenate([np.arange(n) for n in many] or [np.zeros(0, int)])
             yield found.assign(place=place, word=pd.Series([w.decode() for r in rare for w in r], dtype=object))
 
@@ -243,13 +254,15 @@ def encode(
         codes = code_table()
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield batch[["doc_id", *key]].assign(codes=[packer.compress(_planes(coded(codes, t))) for t in batch["text"]])
+            yield batch[["doc_id", "key"]].assign(codes=[packer.compress(_planes(coded(codes, t))) for t in batch["text"]])
 
     # a word of a text once, numbered by its first place there, as `coded` numbers them
-    places = keyed.mapInPandas(rare_words, "`key` long, `check` int, place int, word string")
-    by_text = answer_words(places, path, kind).groupBy(*key).agg(F.collect_list("answer").alias("answers"))
-    bones = keyed.mapInPandas(skeletons, f"doc_id {id_type}, `key` long, `check` int, codes binary")
-    joined = bones.join(by_text, key, "left").select("doc_id", "codes", "answers")
+    places = keyed.mapInPandas(rare_words, "`key` long, place int, word string")
+    # dealt as plain rows: lists of the one or two answers that a task has for a text are larger on disk than the answers
+    answers = answer_words(places, path, kind).repartition("key")
+    by_text = answers.groupBy("key").agg(F.collect_list("answer").alias("answers"))
+    bones = keyed.mapInPandas(skeletons, f"doc_id {id_type}, `key` long, codes binary")
+    joined = bones.join(by_text, "key", "left").select("doc_id", "codes", "answers")
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.array(pieces.value, dtype=object)

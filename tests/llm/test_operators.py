@@ -120,6 +120,22 @@ def test_bpe_repeated_rows_ask_once(spark):
     assert seconds([(None, text)] * 1000 + [(7, text)] * 1000) < 2 * own + 3
 
 
+def test_bpe_answers_travel_as_plain_rows(spark):
+    """Answers cross their exchange as (key, answer), before any list of them is made, and a key is 8 bytes."""
+    frame = spark.createDataFrame([(i, f"rare{i} word{i % 7}") for i in range(50)], "doc_id long, text string")
+    plan = bpe.encode(frame, TOKENIZER, frequent=1, digests=True)._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("partial_collect_list(answer")
+    assert "Exchange" in plan[partial:].split("MapInPandas")[0] and "check#" not in plan
+
+
+def test_bpe_texts_that_share_a_key_get_another(spark):
+    rows = [(i, f"text {i % 30}") for i in range(60)] + [(1, None), (None, "text 1")]
+    source = spark.createDataFrame(rows, "doc_id long, text string").fillna("", ["text"])
+    made = bpe.keyed_texts(source, lambda seed: F.xxhash64("doc_id", "text") % (5 if seed < 2 else 1 << 40))
+    assert made.select("key", "text").distinct().groupBy("key").count().where("count > 1").isEmpty()
+    assert made.count() == len(rows) and made.groupBy("key").count().count() > 5
+
+
 def test_bpe_long_words_that_are_frequent_do_not_meet(spark):
     rule = "-" * 80
     rows = [(i, f"{rule} word{i} {rule} {'=' * 70_000 if i < 2 else ''}") for i in range(60)]
