@@ -224,14 +224,17 @@ def encode(
     """(doc_id, n_tokens, ids, decoded) for every document; with `digests`, sha256 of the ids and of the text instead."""
     spark = documents.sparkSession
     source = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    known = spark.sparkContext.broadcast(frequent_words(source, path, "text", frequent))
+    known = frequent_words(source, path, "text", frequent)
     pieces = spark.sparkContext.broadcast(pieces_of(path))
     kind = "<u2" if len(pieces.value) <= 1 << 16 else "<u4"
+    # in two parts, each without an object per word: a task needs the words or their ids
+    known_words = spark.sparkContext.broadcast(b" ".join(word.encode() for word, _ in known))
+    known_ids = spark.sparkContext.broadcast(Spans([ids for _, ids in known], kind))
     id_type = source.schema["doc_id"].dataType.simpleString()
     keyed = keyed_texts(source)
 
     def code_table() -> dict[bytes, int]:
-        return {word.encode(): i for i, (word, _) in enumerate(known.value)}
+        return {word: i for i, word in enumerate(known_words.value.split())}
 
     def rare_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = code_table()
@@ -266,7 +269,7 @@ def encode(
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.array(pieces.value, dtype=object)
-        words = Spans([ids for _, ids in known.value], kind)
+        words = known_ids.value
         unpacker = zstandard.ZstdDecompressor()
         names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
         for batch in batches:
