@@ -267,10 +267,11 @@ class Filter(dict):
     """Word -> number of its features, with what they add to the word's own scores and to its neighbours'."""
 
     STEPS = (-2, -1, 1, 2)
-    #: Words that are kept at a time.
-    WORDS = 1_000_000
+    #: Words, and sets of features, that are kept at a time.
+    WORDS, SETS = 1_000_000, 50_000
 
     def __init__(self, field: Field) -> None:
+        super().__init__()
         self.field = field
         self.kinds: dict[tuple[str, ...], int] = {}
         self.own: list[np.ndarray] = []
@@ -280,6 +281,14 @@ class Filter(dict):
         self.bonus = np.maximum(gains[:, 1:].max(axis=0), 0) + max(gains[1:, 0].max(), 0)
         self[""] = self._kind(("edge",))
 
+    def _forget(self) -> None:
+        """Words go with the numbers they hold: these are dealt anew."""
+        self.clear()
+        self.kinds.clear()
+        self.own.clear()
+        self.near.clear()
+        self[""] = self._kind(("edge",))
+
     def _score(self, names: list[str]) -> np.ndarray:
         return self.field.weights[[self.field.number[f] for f in names if f in self.field.number]].sum(axis=0)
 
@@ -301,8 +310,8 @@ class Filter(dict):
 
     def suspects(self, lines: list[str]) -> Iterator[tuple[int, np.ndarray]]:
         """Numbers and emissions of the lines that may have a label other than none; all others are proven to have none."""
-        if len(self) > self.WORDS:
-            self.__init__(self.field)
+        if len(self) > self.WORDS or len(self.kinds) > self.SETS:
+            self._forget()
         flat, sizes = ["", ""], []
         for line in lines:
             words = line.split()

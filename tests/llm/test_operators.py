@@ -349,6 +349,25 @@ def test_pii_leaves_out_no_line_with_a_label(spark):
     assert {texts[r.doc_id][s.start : s.end] for r in made for s in r.spans} == {"anna.smith at example.com", "bob(AT)example.org"}
 
 
+@pytest.mark.parametrize("bound", ["WORDS", "SETS"])
+def test_pii_filter_forgets_words_with_their_numbers(monkeypatch, bound):
+    """Words read after others were let go of have the same emissions, however few are kept."""
+    field = pii.train()
+    rng = random.Random(5)
+    pieces = sorted({w for words, _ in pii._labelled_lines() for w in words} | {"(1)", "..."})
+    # a word too long to be kept, of a shape of its own, on every line
+    long = lambda: "".join(rng.choice("aA9_") for _ in range(300))
+    batches = [[" ".join([long(), *(rng.choice(pieces) for _ in range(rng.randint(0, 8)))]) for _ in range(20)] for _ in range(30)]
+    want = [dict(pii.Filter(field).suspects(lines)) for lines in batches]
+    monkeypatch.setattr(pii.Filter, bound, 5, raising=False)
+    kept = pii.Filter(field)
+    for lines, passed in zip(batches, want, strict=True):
+        got = dict(kept.suspects(lines))
+        assert {i: scores.tolist() for i, scores in got.items()} == {i: scores.tolist() for i, scores in passed.items()}
+        # at most the bound before a batch, and its words
+        assert len(kept if bound == "WORDS" else kept.kinds) <= 5 + 20 * 9 + 1
+
+
 def test_viterbi_equals_all_paths():
     from itertools import product
 
